@@ -1,0 +1 @@
+"""Left empty: the work is on finished deliveries, and there is no stream in it."""
