@@ -71,18 +71,13 @@ def to_number(c: Column, data_type: T.DataType | None = None) -> Column:
     if data_type is not None and not isinstance(data_type, T.StringType):
         number = c.try_cast("double")
         return F.when(~F.isnan(number), number)
-    text = py_strip(c)
-    # Java also parses "1d" and "1f", which no result table means as a number.
-    suffixed = text.rlike(r"(?i)[0-9.][df]$")
-    number = F.when(~suffixed, text.try_cast("double"))
+    # Java also parses "1d", "1f" and "0x1p3", which no result table means as a number.
+    number = F.when(~c.rlike(r"(?i)x|[0-9.][df]\s*$"), c.try_cast("double"))
     return F.when(~F.isnan(number), number)
 
 
-def to_year(c: Column, data_type: T.DataType | None = None) -> Column:
-    """INT year, also from ``2020.0``; NULL where it is no whole number."""
-    if isinstance(data_type, T.IntegralType):
-        return c.try_cast("int")
-    number = to_number(c, data_type)
+def to_year(number: Column) -> Column:
+    """INT year of a number; NULL where it is no whole one."""
     return F.when(number == F.floor(number), number.try_cast("int"))
 
 

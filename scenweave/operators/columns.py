@@ -114,18 +114,23 @@ def type_measures(df: DataFrame, value: str = "value", year: str = "year") -> Da
     whole number cannot become a year column: callers set such rows apart.
     """
     types = {f.name: f.dataType for f in df.schema}
-    number = to_number(F.col(value), types[value])
-    whole = to_year(F.col(year), types[year])
-    numeric = types[value].typeName() != "string"
-    return df.withColumns(
+    text = F.lit(None) if types[value].typeName() != "string" else F.lower(value)
+    # Numbers first, flags on top of them: each cell is parsed once.
+    parsed = df.withColumns(
         {
-            value: number,
-            year: whole,
-            "bad_value": F.lit(False) if numeric else F.col(value).isNotNull() & number.isNull()
-            & ~F.lower(F.col(value)).isin("nan", "-nan"),
-            "bad_year": whole.isNull(),
+            "_number": to_number(F.col(value), types[value]),
+            "_year": to_number(F.col(year), types[year]),
+            "_text": F.nullif(F.nullif(text, F.lit("nan")), F.lit("-nan")),
         }
     )
+    return parsed.withColumns(
+        {
+            value: F.col("_number"),
+            year: to_year(F.col("_year")),
+            "bad_value": F.col("_text").isNotNull() & F.col("_number").isNull(),
+            "bad_year": to_year(F.col("_year")).isNull(),
+        }
+    ).drop("_number", "_year", "_text")
 
 
 def project_spec(

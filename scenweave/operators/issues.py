@@ -21,19 +21,23 @@ SCHEMA = (
 COLUMNS = [c.split()[0] for c in SCHEMA.split(", ")]
 
 
-def issue(df: DataFrame, stage: str | Column, message: Column, severity: str = "warning", **given: Column) -> DataFrame:
-    """Issue rows from a table; columns not given are taken from it or NULL."""
+def issue(df: DataFrame, *kinds: dict) -> DataFrame:
+    """Issue rows of several kinds from one pass over a table.
+
+    A kind gives ``when``, and columns of the issue table; those it does not
+    give are taken from the table or NULL.
+    """
     types = dict(c.split() for c in SCHEMA.split(", "))
-    given |= {
-        "stage": F.lit(stage) if isinstance(stage, str) else stage,
-        "message": message,
-        "severity": F.lit(severity),
-    }
-    columns = []
-    for name in COLUMNS:
-        c = given.get(name, F.col(name) if name in df.columns else F.lit(None))
-        columns.append(c.cast(types[name]).alias(name))
-    return df.select(*columns)
+
+    def row(kind: dict) -> Column:
+        fields = []
+        for name in COLUMNS:
+            given = kind.get(name, F.col(name) if name in df.columns else None)
+            fields.append((given if isinstance(given, Column) else F.lit(given)).cast(types[name]).alias(name))
+        return F.when(kind.get("when", F.lit(True)), F.struct(*fields))
+
+    rows = F.array_compact(F.array(*[row(k) for k in kinds]))
+    return df.select(F.explode(rows).alias("issue")).select("issue.*")
 
 
 def driver_issues(spark: SparkSession, rows: Sequence[dict]) -> DataFrame:
@@ -42,20 +46,28 @@ def driver_issues(spark: SparkSession, rows: Sequence[dict]) -> DataFrame:
 
 
 def unmapped_issues(misses: DataFrame) -> DataFrame:
-    """A heading with the number of (key, unit) pairs, then one line per key."""
-    by = [c for c in ("source_model", "spec_id", "file") if c in misses.columns]
-    headings = misses.groupBy(*by, "label").agg(F.sum("units").alias("n"))
-    block = F.col("first").getField("block") if "block" in misses.select("first.*").columns else F.lit(0)
-    last = misses.select("first.*").columns[-1]
+    """A heading with the number of (key, unit) pairs, then one line per key.
+
+    Both come from one pass, as two grouping sets.
+    """
+    by = [F.col(c) for c in ("source_model", "spec_id", "file", "label") if c in misses.columns]
+    position = misses.select("first.*").columns
+    whole = [*by, F.col("key"), F.col("unit"), F.col("first")]
+    lines = misses.groupingSets([whole, by], *whole).agg(
+        F.sum("units").alias("units"), F.sum("n").alias("n"), F.grouping("key").alias("heading")
+    )
+    heading = F.col("heading") == 1
+    count = F.concat(F.col("units").cast("string"), F.lit(" "), F.col("label"), F.lit(" not in the dictionary:"))
+    block = F.col("first.block") if "block" in position else F.lit(0)
     return issue(
-        headings, F.col("label"),
-        F.concat(F.col("n").cast("string"), F.lit(" "), F.col("label"), F.lit(" not in the dictionary:")),
-        block=F.lit(-1), row=F.lit(-1),
-    ).unionByName(
-        issue(
-            misses, F.col("label"), issue_text(F.col("key"), F.col("unit")),
-            block=block, row=F.col("first").getField(last),
-        )
+        lines.withColumn("stage", F.col("label")),
+        {
+            "severity": "warning",
+            "message": F.when(heading, count).otherwise(issue_text(F.col("key"), F.col("unit"))),
+            "n": F.when(heading, F.col("units")).otherwise(F.col("n")),
+            "block": F.when(heading, -1).otherwise(block),
+            "row": F.when(heading, -1).otherwise(F.col(f"first.{position[-1]}")),
+        },
     )
 
 
@@ -64,14 +76,9 @@ def render_report(issues: DataFrame) -> DataFrame:
     order = F.coalesce(
         *[F.when(F.col("stage") == s, F.lit(i)) for s, i in STAGES.items()], F.lit(len(STAGES))
     )
-    titles = (
-        issues.filter(F.col("source_model").isNotNull())
-        .select("source_model", F.lit(-1).alias("spec_id"), F.concat(F.lit("=== "), "source_model", F.lit(" ===")).alias("line"))
-        .distinct()
-        .select("source_model", "spec_id", F.lit(-1).alias("step"), F.lit(-1).alias("block"), F.lit(-1).alias("row"), "line")
-    )
-    lines = issues.select(
-        "source_model",
+    title = F.struct(F.lit(-1).alias("spec_id"), F.lit(-1).alias("step"), F.lit(-1).cast("bigint").alias("block"),
+                     F.lit(-1).cast("bigint").alias("row"), F.concat(F.lit("=== "), "source_model", F.lit(" ===")).alias("line"))
+    line = F.struct(
         F.coalesce("spec_id", F.lit(2**31 - 1)).alias("spec_id"),
         order.alias("step"),
         F.coalesce("block", F.lit(0)).alias("block"),
@@ -79,4 +86,12 @@ def render_report(issues: DataFrame) -> DataFrame:
         F.when(F.col("stage") == "source", F.concat(F.lit("--- "), "file", F.lit(" ---")))
         .otherwise(F.col("message")).alias("line"),
     )
-    return titles.unionByName(lines).orderBy("source_model", "spec_id", "step", "block", "row", "line")
+    # Every issue brings the title of its model along; one of them is kept.
+    both = issues.select("source_model", F.explode(F.array(title, line)).alias("e")).select("source_model", "e.*")
+    return (
+        both.groupBy(*both.columns).agg(F.count(F.lit(1)).alias("times"))
+        .withColumn("times", F.when(F.col("spec_id") == -1, 1).otherwise(F.col("times")))
+        .select(*both.columns, F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))).alias("_"))
+        .drop("_")
+        .orderBy("source_model", "spec_id", "step", "block", "row", "line")
+    )

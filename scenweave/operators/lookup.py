@@ -9,18 +9,19 @@ NULL never matches.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 from typing import NamedTuple
 
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..fixed import DUPLICATE_PREFIX, ORDER
 from .unmapped import unmapped
 
-BROADCAST_ROWS = 1_000_000
-BROADCAST_BYTES = 64 * 1024 * 1024
+BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 32 * 1024 * 1024
 SALTS = 64
 
 
@@ -74,24 +75,41 @@ def load_dictionary(
 
 
 def measure_all(frames: Mapping[str, DataFrame]) -> dict[str, Dictionary]:
-    """Measure dictionaries in a single job."""
-    sizes = [
-        frame.agg(
-            F.lit(name).alias("name"),
-            F.count(F.lit(1)).alias("rows"),
-            F.coalesce(
-                F.sum(F.octet_length("source") + F.coalesce(F.octet_length("target"), F.lit(0)) + 32),
-                F.lit(0),
-            ).alias("size"),
-            F.count_if(F.col("target").startswith(DUPLICATE_PREFIX)).alias("dup_targets"),
-        )
-        for name, frame in frames.items()
-    ]
-    measured = {r["name"]: r for r in reduce(DataFrame.union, sizes).collect()}
-    return {
-        n: Dictionary(f, measured[n]["rows"], measured[n]["size"], measured[n]["dup_targets"])
-        for n, f in frames.items()
-    }
+    """Measure dictionaries, and pin those within the bound.
+
+    A pinned dictionary is a constant of the plans it is used in: its files
+    are read once however many steps look keys up, and the result and the
+    report see the same entries. One over the bound stays a table.
+    """
+    tagged = reduce(
+        lambda a, b: a.unionByName(b, allowMissingColumns=True),
+        [frame.withColumn("name", F.lit(name)) for name, frame in frames.items()],
+    ).persist()
+    try:
+        size = F.octet_length("source") + F.coalesce(F.octet_length("target"), F.lit(0)) + F.lit(32)
+        measured = {
+            r["name"]: r
+            for r in tagged.groupBy("name").agg(
+                F.count(F.lit(1)).alias("rows"),
+                F.sum(size).alias("size"),
+                F.count_if(F.col("target").startswith(DUPLICATE_PREFIX)).alias("dup_targets"),
+            ).collect()
+        }
+        found = {
+            n: Dictionary(f, measured[n]["rows"], measured[n]["size"], measured[n]["dup_targets"])
+            if n in measured else Dictionary(f, 0, 0)
+            for n, f in frames.items()
+        }
+        small = [n for n, d in found.items() if d.small]
+        pinned = tagged.filter(F.col("name").isin(small)).toArrow() if small else None
+    finally:
+        tagged.unpersist()
+    for name in small:
+        frame = frames[name]
+        # One chunk: Spark stops reading an Arrow table at an empty one.
+        entries = pinned.filter(pc.field("name") == name).select(frame.columns).combine_chunks()
+        found[name] = replace(found[name], frame=frame.sparkSession.createDataFrame(entries, frame.schema))
+    return found
 
 
 def measure(frame: DataFrame | Dictionary) -> Dictionary:

@@ -53,10 +53,15 @@ def look_up(rows: DataFrame, dictionaries: Mapping[str, DataFrame | Dictionary])
     return rows
 
 
+def good_rows(rows: DataFrame) -> DataFrame:
+    """Without the rows that the scan could not take apart."""
+    return rows.filter(~F.col("bad_row")) if "bad_row" in rows.columns else rows
+
+
 def mapped_rows(looked_up: DataFrame, order: Sequence[str], keep_original_unit: bool = False) -> DataFrame:
     """Rows all of whose keys have a translation, in canonical form."""
     unit = F.coalesce("_unit", "unit") if keep_original_unit else F.col("_unit")
-    return looked_up.filter(
+    return good_rows(looked_up).filter(
         F.col("_variable").isNotNull() & F.col("_region").isNotNull() & F.col("_scenario").isNotNull()
         & F.col("year").isNotNull()
     ).select(
@@ -94,7 +99,7 @@ def harmonize_rows(
     data = mapped_rows(looked_up, order, keep_original_unit)
     return Harmonized(
         long=resolve_duplicates(data, KEYS, order, null_policy=null_policy, chunk_bits=chunk_bits),
-        misses=unmapped(looked_up, TARGETS, scope=scope, order=order),
+        misses=unmapped(good_rows(looked_up), TARGETS, scope=scope, order=order),
         counters=duplicate_counters(data, KEYS),
         looked_up=looked_up,
         can_collide=measured["regions"].dup_targets > 0,
@@ -122,57 +127,52 @@ def pivot_issues(long: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n")
     )
     text = F.concat(F.col("n").cast("string"), F.lit(" cells with several rows, no wide table for "), "source_model")
-    return issue(failed, "pivot", text, "error")
+    return issue(failed, {"stage": "pivot", "severity": "error", "message": text, "n": F.col("n")})
 
 
 def duplicate_issues(counters: DataFrame) -> DataFrame:
-    n = F.col("duplicates").cast("string")
-    said = [
-        ("duplicates", "info", F.col("duplicates") == 0, F.lit("no duplicates")),
-        ("duplicates", "warning", F.col("duplicates") > 0, F.concat(n, F.lit(" rows in duplicate groups"))),
-        ("removed", "info", F.col("removed") > 0,
-         F.concat(F.col("removed").cast("string"), F.lit(" identical rows removed"))),
-        ("renamed", "warning", F.col("renamed") > 0,
-         F.concat(F.col("renamed").cast("string"), F.lit(" differing rows renamed"))),
-    ]
-    return union_sources([
-        issue(counters.filter(when), "duplicates", text, severity, n=F.col(count), row=F.lit(i))
-        for i, (count, severity, when, text) in enumerate(said)
-    ])
+    def kind(place: int, count: str, text: str, severity: str = "warning") -> dict:
+        message = F.concat(F.col(count).cast("string"), F.lit(text))
+        return {"when": F.col(count) > 0, "stage": "duplicates", "severity": severity, "message": message,
+                "n": F.col(count), "row": place}
+
+    none = {"when": F.col("duplicates") == 0, "stage": "duplicates", "severity": "info",
+            "message": "no duplicates", "n": 0, "row": 0}
+    return issue(
+        counters, none,
+        kind(1, "duplicates", " rows in duplicate groups"),
+        kind(2, "removed", " identical rows removed", "info"),
+        kind(3, "renamed", " differing rows renamed"),
+    )
 
 
-def source_issues(
-    rows: DataFrame, looked_up: DataFrame, specs: DataFrame, skipped: Sequence[int]
-) -> DataFrame:
+def source_issues(looked_up: DataFrame, specs: DataFrame, skipped: Sequence[int]) -> DataFrame:
     """Per source: cells that did not convert, no rows left, model not in the dictionary."""
-    kept = F.col("_variable").isNotNull() & F.col("_region").isNotNull() & F.col("_scenario").isNotNull()
-    usable = looked_up.groupBy("spec_id").agg(
+    good = ~F.col("bad_row")
+    kept = good & F.col("_variable").isNotNull() & F.col("_region").isNotNull() & F.col("_scenario").isNotNull()
+    counts = looked_up.groupBy("spec_id").agg(
         F.count_if(kept).alias("kept"),
-        F.count_if(F.col("bad_value")).alias("bad_value"),
-        F.count_if(F.col("bad_year")).alias("bad_year"),
+        F.count_if("bad_row").alias("bad_row"),
+        F.count_if(good & F.col("bad_value")).alias("bad_value"),
+        F.count_if(good & F.col("bad_year")).alias("bad_year"),
     )
-    long_rows = rows.filter("bad_row").groupBy("spec_id").agg(F.count(F.lit(1)).alias("bad_row"))
-    table = (
-        specs.filter(~F.col("spec_id").isin(*skipped)) if skipped else specs
-    ).join(usable, "spec_id", "left").join(long_rows, "spec_id", "left")
-    said = [
-        ("bad_row", "values", "error", F.lit(" rows have more fields than the header and are left out")),
-        ("bad_value", "values", "warning", F.lit(" values are no numbers and count as missing")),
-        ("bad_year", "values", "error", F.lit(" rows have no whole-number year and are left out")),
-    ]
-    parts = [
-        issue(table.filter(F.col(c) > 0), stage_name, F.concat(F.col(c).cast("string"), text), severity, n=F.col(c), row=F.lit(i))
-        for i, (c, stage_name, severity, text) in enumerate(said)
-    ]
+    table = specs.filter(~F.col("spec_id").isin(*skipped)) if skipped else specs
     survives = F.coalesce("kept", F.lit(0)) > 0
-    parts.append(issue(table.filter(~survives), "empty", F.concat(F.lit("no valid data in "), "file"), "info"))
-    parts.append(
-        issue(
-            table.filter(survives & ~F.col("model_known")), "model",
-            F.concat(F.lit("source model "), "source_model", F.lit(" is not in the dictionary")),
-        )
+
+    def kind(place: int, count: str, text: str, severity: str) -> dict:
+        message = F.concat(F.col(count).cast("string"), F.lit(text))
+        return {"when": F.col(count) > 0, "stage": "values", "severity": severity, "message": message,
+                "n": F.col(count), "row": place}
+
+    return issue(
+        table.join(counts, "spec_id", "left"),
+        kind(0, "bad_row", " rows have more fields than the header and are left out", "error"),
+        kind(1, "bad_value", " values are no numbers and count as missing", "warning"),
+        kind(2, "bad_year", " rows have no whole-number year and are left out", "error"),
+        {"when": ~survives, "stage": "empty", "severity": "info", "message": F.concat(F.lit("no valid data in "), "file")},
+        {"when": survives & ~F.col("model_known"), "stage": "model", "severity": "warning",
+         "message": F.concat(F.lit("source model "), "source_model", F.lit(" is not in the dictionary"))},
     )
-    return union_sources(parts)
 
 
 class Run(NamedTuple):
@@ -245,7 +245,7 @@ def harmonize(
 
     rows = union_sources(scans)
     result = harmonize_rows(
-        rows.filter(~F.col("bad_row")), measured, ORDER, ("source_model", "spec_id"),
+        rows, measured, ORDER, ("source_model", "spec_id"),
         keep_original_unit, null_policy, chunk_bits, stage_rows,
     )
     table = spark.createDataFrame(
@@ -258,7 +258,7 @@ def harmonize(
     skipped = sorted({s["spec_id"] for s in ordered} - read)
     issues = union_sources([
         planned,
-        source_issues(rows, result.looked_up, table, skipped),
+        source_issues(result.looked_up, table, skipped),
         unmapped_issues(misses),
         duplicate_issues(result.counters),
     ] + ([pivot_issues(result.long)] if result.can_collide else []))

@@ -143,7 +143,7 @@ def harmonize_legacy(
             .groupBy(*scope, F.col("region").alias("key")).agg(F.count(F.lit(1)).alias("n"))
             .join(known, "key", "left_anti")
         )
-        kept = issue(found, "Regions", F.concat("key", F.lit(" (kept)")))
+        kept = issue(found, {"stage": "Regions", "severity": "warning", "message": F.concat("key", F.lit(" (kept)"))})
     else:
         kept = driver_issues(spark, [])
     return LegacyRun(long, union_sources([planned, unmapped_issues(misses[0]), kept]))

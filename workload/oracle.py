@@ -59,6 +59,9 @@ IAMC = "model, scenario, region, variable, unit"
 WIDE_SQL = f"SELECT source_model, {IAMC}, {WIDE_CELLS} FROM resolved GROUP BY source_model, {IAMC}"
 MAPPED_ALL = [RESULTS_SQL, DICTIONARIES_SQL, MAPPED_SQL]
 
+# Years of l_shipdate; the query finds them itself.
+SHIP_YEARS = range(1995, 2002)
+
 SPEC_MAP_SQL = """pairs AS (
   SELECT source_model, original_variable AS source,
          CASE WHEN unit <> 'x' THEN original_variable || '/' || unit END AS target, ord AS seq FROM r),
@@ -202,6 +205,12 @@ SQL = {
         SELECT source_model, {IAMC}, {WIDE_CELLS} FROM m WHERE source_model <> 'MODEL_2' GROUP BY source_model, {IAMC}"""),
     "pivot_sum": with_(NULLS_SQL, PLAIN_SQL, select=f"""
         SELECT {IAMC}, {cells_sql(SUM_CELL)} FROM m WHERE unit IS NOT NULL GROUP BY {IAMC}"""),
+    "pivot_sum_lineitem": with_("""m AS (
+        SELECT c_mktsegment AS model, o_orderpriority AS scenario, n_name AS region,
+               l_returnflag || '|' || l_linestatus AS variable, 'units' AS unit, year(l_shipdate) AS year, l_quantity AS value
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+             JOIN nation ON c_nationkey = n_nationkey)""", select=f"""
+        SELECT {IAMC}, {cells_sql(SUM_CELL, SHIP_YEARS)} FROM m GROUP BY {IAMC}"""),
     "assert_unique": """
         SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
     "country_codes": with_(COUNTRY_SQL, select="SELECT source, target FROM d_country"),
@@ -252,5 +261,3 @@ SQL = {
                    LEFT JOIN d_region d ON d.source = k.region WHERE s.target IS NOT NULL)""", select=f"""
         SELECT source_model, {IAMC}, {cells_sql(SUM_CELL)} FROM l GROUP BY source_model, {IAMC}"""),
 }
-
-YEARS_OF_LINES = range(1995, 2006)
