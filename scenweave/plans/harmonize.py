@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from functools import cached_property
 from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
@@ -28,19 +30,39 @@ TARGETS = {
 }
 
 
-class Harmonized(NamedTuple):
-    """``long`` holds the result; the others are computed when they are asked for.
+@dataclass(frozen=True)
+class Harmonized:
+    """A harmonised table; the parts of its report are planned when asked for.
 
     ``can_collide`` tells whether a region of the dictionary can be mistaken
     for a numbered duplicate.
     """
 
-    long: DataFrame
-    misses: DataFrame
-    counters: DataFrame
     looked_up: DataFrame
+    data: DataFrame
+    order: tuple[str, ...]
+    scope: tuple[str, ...]
+    null_policy: str
+    chunk_bits: int
     can_collide: bool
 
+    @cached_property
+    def long(self) -> DataFrame:
+        """The result."""
+        return resolve_duplicates(
+            self.data, KEYS, self.order, null_policy=self.null_policy, chunk_bits=self.chunk_bits
+        )
+
+    @cached_property
+    def misses(self) -> DataFrame:
+        """Keys the dictionaries lack, from all rows, also those that leave."""
+        return unmapped(good_rows(self.looked_up), TARGETS, scope=self.scope, order=self.order)
+
+    @cached_property
+    def counters(self) -> DataFrame:
+        """Duplicate rows per source model."""
+        return duplicate_counters(self.data, KEYS)
+
 
 def look_up(rows: DataFrame, dictionaries: Mapping[str, DataFrame | Dictionary]) -> DataFrame:
     """Add the translations next to the source names, so that the report sees both."""
@@ -98,10 +120,7 @@ def harmonize_rows(
         looked_up = stage(looked_up, "looked-up")
     data = mapped_rows(looked_up, order, keep_original_unit)
     return Harmonized(
-        long=resolve_duplicates(data, KEYS, order, null_policy=null_policy, chunk_bits=chunk_bits),
-        misses=unmapped(good_rows(looked_up), TARGETS, scope=scope, order=order),
-        counters=duplicate_counters(data, KEYS),
-        looked_up=looked_up,
+        looked_up, data, tuple(order), tuple(scope), null_policy, chunk_bits,
         can_collide=measured["regions"].dup_targets > 0,
     )
 

@@ -29,7 +29,8 @@ def plain_root(root: str) -> str:
 def list_files(spark: SparkSession, root: str) -> DataFrame:
     """Every file below ``root``; contents are not read.
 
-    Names starting with ``_`` or ``.`` are hidden from Spark and stay out.
+    Names starting with ``_`` or ``.`` and files without a byte are hidden from
+    Spark and stay out.
     """
     plain = F.regexp_replace(decode_uri(F.col("file_path")), _SCHEME, "")
     return (
