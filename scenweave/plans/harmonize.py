@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import cached_property
-from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -194,16 +193,36 @@ def source_issues(looked_up: DataFrame, specs: DataFrame, skipped: Sequence[int]
     )
 
 
-class Run(NamedTuple):
-    """Result of a run on files."""
+@dataclass(frozen=True)
+class Run:
+    """Result of a run on files. ``harmonized`` is None if no source could be read."""
 
     harmonized: Harmonized | None
-    issues: DataFrame
+    planned: DataFrame
+    specs: DataFrame
+    absent: tuple[tuple[int, str], ...]
+    skipped: tuple[int, ...]
 
     @property
     def long(self) -> DataFrame | None:
         return self.harmonized.long if self.harmonized else None
 
+    @cached_property
+    def issues(self) -> DataFrame:
+        """Everything the run has to report."""
+        result = self.harmonized
+        if result is None:
+            return self.planned
+        misses = result.misses.join(F.broadcast(self.specs.select("spec_id", "file")), "spec_id")
+        for spec_id, label in self.absent:
+            misses = misses.filter(~((F.col("spec_id") == spec_id) & (F.col("label") == label)))
+        return union_sources([
+            self.planned,
+            source_issues(result.looked_up, self.specs, self.skipped),
+            unmapped_issues(misses),
+            duplicate_issues(result.counters),
+        ] + ([pivot_issues(result.long)] if result.can_collide else []))
+
 
 def harmonize(
     spark: SparkSession,
@@ -258,27 +277,15 @@ def harmonize(
          "stage": "source", "severity": "info"}
         for s in ordered
     ]
-    planned = driver_issues(spark, titles + plan.issues)
-    if not scans:
-        return Run(None, planned)
-
-    rows = union_sources(scans)
-    result = harmonize_rows(
-        rows, measured, ORDER, ("source_model", "spec_id"),
-        keep_original_unit, null_policy, chunk_bits, stage_rows,
-    )
     table = spark.createDataFrame(
         [(s["spec_id"], s["Source model"], s["File name"], known[s["spec_id"]]["model_known"]) for s in ordered],
         "spec_id int, source_model string, file string, model_known boolean",
     )
-    misses = result.misses.join(F.broadcast(table.select("spec_id", "file")), "spec_id")
-    for spec_id, label in plan.absent:
-        misses = misses.filter(~((F.col("spec_id") == spec_id) & (F.col("label") == label)))
+    result = None
+    if scans:
+        result = harmonize_rows(
+            union_sources(scans), measured, ORDER, ("source_model", "spec_id"),
+            keep_original_unit, null_policy, chunk_bits, stage_rows,
+        )
     skipped = sorted({s["spec_id"] for s in ordered} - read)
-    issues = union_sources([
-        planned,
-        source_issues(result.looked_up, table, skipped),
-        unmapped_issues(misses),
-        duplicate_issues(result.counters),
-    ] + ([pivot_issues(result.long)] if result.can_collide else []))
-    return Run(result, issues)
+    return Run(result, driver_issues(spark, titles + plan.issues), table, tuple(plan.absent), tuple(skipped))
