@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..fixed import IAMC_KEYS
@@ -49,9 +49,12 @@ def pivot_years(
     table = df.groupBy(*by).agg(*cells, crowded.alias("_crowded"))
     if on_duplicate == "quarantine" and scope:
         # No row per model is ever gathered: the failing models are few, the
-        # rows of one model may be many, hence the salt.
-        failed = table.filter("_crowded").select(scope).distinct()
-        table = salted_join(table, failed, [scope], "left_anti", spread=by)
+        # rows of one model may be many, hence the salt. It is taken from the
+        # cells too, or else the join would move below the aggregation and the
+        # two uses of that would no longer be one.
+        table = table.withColumn("_scope", F.struct(scope))
+        failed = table.filter(F.col("_crowded") & _names(names)).select("_scope").distinct()
+        table = salted_join(table, failed, ["_scope"], "left_anti", spread=[*by, *names])
     elif on_duplicate == "raise":
         table = table.withColumn(
             "_crowded", F.when(F.col("_crowded"), F.raise_error("duplicate cell in pivot")).otherwise(False)
@@ -60,6 +63,16 @@ def pivot_years(
     return table.orderBy(*by) if sort else table
 
 
+def _names(columns: Sequence[str]) -> Column:
+    """Always true, but names the columns.
+
+    A plan that reads a table twice runs it once if both uses take the same
+    columns of it.
+    """
+    first = F.coalesce(*[F.col(f"`{c}`") for c in columns]) if columns else F.lit(None)
+    return first.isNull() | (first == first)
+
+
 def pivot_sum(
     df: DataFrame, keys: Sequence[str] = IAMC_KEYS, years: Sequence[int] | None = None,
     year: str = "year", value: str = "value", sort: bool = False,

@@ -217,6 +217,8 @@ def test_pivot_policies(spark, rows):
             (3, "B", "B", "s", "R", "v", None, 2030, None), (4, "B", "B", "s", "R", "v", None, 2020, 5.0)]
     df = spark.createDataFrame(data, RESULT)
     assert rows(op.pivot_years(df)) == [("B", "B", "s", "R", "v", None, 5.0, None)]
+    nameless = df.withColumn("source_model", F.nullif("source_model", F.lit("A")))
+    assert rows(op.pivot_years(nameless)) == [("B", "B", "s", "R", "v", None, 5.0, None)]
     assert op.pivot_years(df, on_duplicate="ignore").count() == 2
     with pytest.raises(Exception, match="duplicate cell"):
         op.pivot_years(df, on_duplicate="raise").collect()
