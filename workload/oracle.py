@@ -247,6 +247,12 @@ SQL = {
                round(100.0::DOUBLE * n_chars / (n_chars + doc_id), 1) AS share FROM documents""",
     "harmonize_mapped": with_(*MAPPED_ALL, select="SELECT * FROM m"),
     "harmonize_e2e": with_(*MAPPED_ALL, RESOLVED_SQL, select="SELECT * FROM resolved"),
+    "harmonize_files": with_(*MAPPED_ALL, RESOLVED_SQL, select="SELECT * FROM resolved"),
+    "harmonize_files_misses": with_(RESULTS_SQL, DICTIONARIES_SQL, MISSES_SQL, select="""
+        SELECT source_model, label, key, count(*) AS n FROM misses GROUP BY source_model, label, key"""),
+    "catalog": with_(RESULTS_SQL, select="""
+        SELECT DISTINCT 'source_model=' || source_model AS source_model, 'source_model=' || source_model AS file_location,
+               '' AS sheet_name, 'ord, scen, AREA, Kind, Part No, Unit, TIME, VAL' AS column_names FROM r"""),
     "harmonize_wide": with_(*MAPPED_ALL, RESOLVED_SQL, select=WIDE_SQL),
     "harmonize_duplicate_report": with_(*MAPPED_ALL, COUNTERS_SQL, select="SELECT * FROM counters"),
     "harmonize_legacy_e2e": with_(RESULTS_SQL, PLAIN_SQL, REGIONS_SQL, f"""keyed AS (

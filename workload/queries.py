@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scenweave import harmonize_rows, legacy_rows, legacy_wide, to_wide
+from scenweave import catalog_files, harmonize, harmonize_rows, legacy_rows, legacy_wide, to_wide
 from scenweave import operators as op
 from scenweave.functions import as_text, issue_text, one_line, pct, py_strip
 from scenweave.operators.duplicates import KEYS
@@ -16,6 +16,7 @@ from scenweave.plans.harmonize import TARGETS, duplicate_issues, look_up, mapped
 from scenweave.sources.files import derive_source_model, locate
 from scenweave.sources.specs import spec_summary
 
+from . import deliveries
 from . import views as v
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -399,6 +400,23 @@ def harmonize_legacy_e2e(spark, sf):
     return legacy_wide(legacy_rows(rows, mapping, v.regions(spark, sf), ["source_model"]), ["source_model"], years=v.YEARS)
 
 
+def harmonize_files(spark, sf):
+    """The whole run, from CSV files that hold the results."""
+    folder = deliveries.deliver(spark, sf)
+    return harmonize(spark, folder, deliveries.overview(spark, folder), v.dictionaries(spark, sf)).long
+
+
+def harmonize_files_misses(spark, sf):
+    folder = deliveries.deliver(spark, sf)
+    run = harmonize(spark, folder, deliveries.overview(spark, folder), v.dictionaries(spark, sf))
+    return run.harmonized.misses.groupBy("source_model", "label", "key").agg(F.sum("n").alias("n"))
+
+
+def catalog(spark, sf):
+    found = catalog_files(spark, deliveries.deliver(spark, sf))
+    return found.select("source_model", "file_location", "sheet_name", "column_names").distinct()
+
+
 ALL: dict[str, Query] = {
     f.__name__: f
     for f in [
@@ -414,5 +432,6 @@ ALL: dict[str, Query] = {
         country_codes, normalize_regions, normalize_regions_passthrough, region_coverage, region_misses,
         derive_source_models, locate_files, spec_counts, codelist_lines, text_functions,
         harmonize_mapped, harmonize_e2e, harmonize_wide, harmonize_duplicate_report, harmonize_legacy_e2e,
+        harmonize_files, harmonize_files_misses, catalog,
     ]
 }
