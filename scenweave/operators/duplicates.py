@@ -20,6 +20,7 @@ from ..fixed import DUPLICATE_PREFIX, IAMC_KEYS
 
 KEYS = ["source_model", *IAMC_KEYS, "year"]
 CHUNK_BITS = 20
+_GROUP = ["_h", "_k"]
 
 
 def _measures(value: str) -> list[Column]:
@@ -59,14 +60,19 @@ def duplicate_counters(
 
 
 def _chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str], bits: int) -> DataFrame:
-    """Rows by key and chunk. The struct key lets NULL equal NULL in a join."""
+    """Rows by key and chunk.
+
+    The struct key lets NULL equal NULL in a join. Its hash goes in front of it
+    wherever rows are sorted: comparing one number nearly always decides.
+    """
     *coarse, fine = order
     rest = [c for c in df.columns if c not in keys]
     return df.select(
+        F.xxhash64(*keys).alias("_h"),
         F.struct(*keys).alias("_k"),
         F.struct(*coarse, F.shiftright(F.col(fine).cast("bigint"), bits).alias("_part")).alias("_chunk"),
         *rest,
-    ).repartition("_k", "_chunk")
+    ).repartition(*_GROUP, "_chunk")
 
 
 def _chunk_totals(rows: DataFrame, value: str | None, fine: str) -> DataFrame:
@@ -74,8 +80,8 @@ def _chunk_totals(rows: DataFrame, value: str | None, fine: str) -> DataFrame:
     measures = _measures(value) if value else [F.count(F.lit(1)).alias("n")]
     # Sorting by the position too keeps both uses of the shuffled rows alike,
     # so that Spark runs that shuffle once.
-    per_chunk = rows.groupBy("_k", "_chunk").agg(*measures, F.min(fine).alias("_first"))
-    ordered = Window.partitionBy("_k").orderBy("_chunk", "_first")
+    per_chunk = rows.groupBy(*_GROUP, "_chunk").agg(*measures, F.min(fine).alias("_first"))
+    ordered = Window.partitionBy(*_GROUP).orderBy("_chunk", "_first")
     group = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     before = ordered.rowsBetween(Window.unboundedPreceding, -1)
     totals = {"_before": F.coalesce(F.sum("n").over(before), F.lit(0)), "n": F.sum("n").over(group)}
@@ -95,8 +101,8 @@ def mark_duplicates(
     """Flag every row of a group of more than one; NULL equals NULL."""
     columns = df.columns
     rows = _chunked(df, keys, order, chunk_bits)
-    totals = _chunk_totals(rows, None, order[-1]).select("_k", "_chunk", (F.col("n") > 1).alias(into))
-    joined = rows.join(totals, ["_k", "_chunk"])
+    totals = _chunk_totals(rows, None, order[-1]).select(*_GROUP, "_chunk", (F.col("n") > 1).alias(into))
+    joined = rows.join(totals, [*_GROUP, "_chunk"])
     return joined.select(*[F.col(f"_k.{c}") if c in keys else F.col(c) for c in columns], into)
 
 
@@ -138,11 +144,11 @@ def resolve_duplicates(
     plain = totals.filter(settled & (F.col("_before") == 0)).select(*fields(), F.col("high").alias(value))
 
     opened = totals.filter(~settled).select(
-        "_k", "_chunk", "_before", F.coalesce(_identical(), F.lit(False)).alias("_same")
+        *_GROUP, "_chunk", "_before", F.coalesce(_identical(), F.lit(False)).alias("_same")
     )
-    contested = rows.join(opened, ["_k", "_chunk"]).withColumn(
-        "_at",
-        F.col("_before") + F.row_number().over(Window.partitionBy("_k", "_chunk").orderBy(fine)),
+    in_chunk = Window.partitionBy(*_GROUP, "_chunk").orderBy(fine)
+    contested = rows.join(opened, [*_GROUP, "_chunk"]).withColumn(
+        "_at", F.col("_before") + F.row_number().over(in_chunk)
     )
     numbered = F.concat(F.lit(DUPLICATE_PREFIX), F.col(f"_k.{rename}"), F.lit("_"), F.col("_at").cast("string"))
     kept = contested.filter(~F.col("_same") | (F.col("_at") == 1)).select(

@@ -82,6 +82,7 @@ def good_rows(rows: DataFrame) -> DataFrame:
 def mapped_rows(looked_up: DataFrame, order: Sequence[str], keep_original_unit: bool = False) -> DataFrame:
     """Rows all of whose keys have a translation, in canonical form."""
     unit = F.coalesce("_unit", "unit") if keep_original_unit else F.col("_unit")
+    value = F.col("value").cast("double") * F.coalesce("_factor", F.lit(1.0))
     return good_rows(looked_up).filter(
         F.col("_variable").isNotNull() & F.col("_region").isNotNull() & F.col("_scenario").isNotNull()
         & F.col("year").isNotNull()
@@ -89,7 +90,8 @@ def mapped_rows(looked_up: DataFrame, order: Sequence[str], keep_original_unit:
         "source_model", "model",
         F.col("_scenario").alias("scenario"), F.col("_region").alias("region"),
         F.col("_variable").alias("variable"), unit.alias("unit"), "year",
-        (F.col("value") * F.coalesce("_factor", F.lit(1.0))).alias("value"),
+        # A NaN would count as a value of its own among duplicates.
+        F.when(~F.isnan(value), value).alias("value"),
         *order,
     )
 

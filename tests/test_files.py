@@ -186,6 +186,23 @@ def test_sheets_of_a_workbook_folder(spark, tmp_path, dictionaries, rows):
         ("book.xlsx", s, "Unnamed: 0, scenario, region, a, b, unit, year, value") for s in ("Data", "Other")]
 
 
+def test_other_formats(spark, tmp_path, dictionaries, rows):
+    import pyarrow as pa
+    from pyarrow import orc
+
+    table = pa.table({"scenario": ["base", "base"], "region": ["AT", "DE"], "variable": ["Prod|Alu"] * 2,
+                      "unit": ["t", "kt"], "year": [2020, 2020], "value": [1.0, 2.0]})
+    (tmp_path / "M/book.xlsx").mkdir(parents=True)
+    orc.write_table(table, tmp_path / "M/book.xlsx/A.orc")
+    lines = [f'{{"scenario":"base","region":"{r}","variable":"Prod|Alu","unit":"t","year":2030,"value":{v}}}' for r, v in (("AT", 3), ("FR", "null"))]
+    put(tmp_path, "M/book.xlsx/B.json", "\n".join(lines) + "\n")
+    specs = [("M", "book.xlsx", "M", sheet, "", "variable") for sheet in ("A", "B", "C")]
+    run = harmonize(spark, str(tmp_path), overview(spark, *specs), dictionaries())
+    assert rows(run.long.select("region", "year", "value")) == [
+        ("Austria", 2020, 1.0), ("Austria", 2030, 3.0), ("France", 2030, None), ("Germany", 2020, 0.002)]
+    assert run.issues.filter("stage = 'read'").count() == 1
+
+
 def test_catalog(spark, delivery, rows, tmp_path):
     put(delivery, "top.csv", "﻿a;b,c;\"d;e\"\n1;2;3\n")
     put(delivery, "M/deep/er/t.csv", "x\ty,z,,z\n")

@@ -210,6 +210,16 @@ def test_rows_are_shuffled_once(spark, tmp_path):
     assert "Python" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
+def test_result_does_not_depend_on_partitions(spark, rows):
+    df = spark.createDataFrame(skewed(800, seed=3), RESULT)
+    want = rows(op.resolve_duplicates(df))
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    try:
+        assert rows(op.resolve_duplicates(df.repartition(11), chunk_bits=4)) == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
 # --- pivots -----------------------------------------------------------------
 
 def test_pivot_policies(spark, rows):

@@ -25,3 +25,15 @@ def test_every_query_has_its_sql():
 
 def test_entry(spark):
     assert registry.entry(spark).columns[:6] == ["source_model", "model", "scenario", "region", "variable", "unit"]
+
+
+@pytest.mark.parametrize("name", ["harmonize_wide", "unmapped_report", "normalize_regions", "pivot_strict", "harmonize_legacy_e2e"])
+def test_plans_stay_in_the_engine(spark, name):
+    plan = registry.queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    for slow in ("Python", "CartesianProduct", "NestedLoopJoin", "MapInArrow", "MapInPandas"):
+        assert slow not in plan
+
+
+def test_misses_leave_by_inner_joins(spark):
+    plan = registry.queries()["harmonize_mapped"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join Inner") >= 3 and plan.count("Join LeftOuter") == 2
