@@ -1,7 +1,7 @@
 """Harmonisation of scenario result tables on Spark."""
 
 from .plans.harmonize import Harmonized, Run, harmonize, harmonize_rows, pivot_issues, to_wide
-from .plans.legacy import LegacyRun, harmonize_legacy, legacy_rows, legacy_wide
+from .plans.legacy import LegacyRun, harmonize_legacy, legacy_rows, legacy_wide, write_legacy
 from .sources.codelists import export_codelist, read_codelist, write_codelist
 from .sources.dictionaries import load_dictionaries, read_dictionary_table
 from .sources.files import catalog_files, write_catalog
@@ -12,5 +12,5 @@ __all__ = [
     "Harmonized", "LegacyRun", "Run", "catalog_files", "export_codelist", "harmonize",
     "harmonize_legacy", "harmonize_rows", "legacy_rows", "legacy_wide", "load_dictionaries",
     "load_specs", "pivot_issues", "read_codelist", "read_dictionary_table", "spec_summary",
-    "to_wide", "write_catalog", "write_codelist", "write_iamc", "write_regions", "write_report",
+    "to_wide", "write_catalog", "write_codelist", "write_iamc", "write_legacy", "write_regions", "write_report",
 ]

@@ -72,7 +72,11 @@ def unmapped_issues(misses: DataFrame) -> DataFrame:
 
 
 def render_report(issues: DataFrame) -> DataFrame:
-    """Lines of the report in the order of models, sources, steps and input rows."""
+    """Lines of the report in the order of models, sources, steps and input rows.
+
+    The columns found in each source are in the issue table only.
+    """
+    issues = issues.filter(F.col("severity") != "found")
     order = F.coalesce(
         *[F.when(F.col("stage") == s, F.lit(i)) for s, i in STAGES.items()], F.lit(len(STAGES))
     )

@@ -15,7 +15,7 @@ from ..operators.columns import union_sources
 from ..operators.duplicates import CHUNK_BITS, KEYS, duplicate_counters, resolve_duplicates
 from ..operators.issues import driver_issues, issue, unmapped_issues
 from ..operators.lookup import Dictionary, attach, map_model, measure_all
-from ..operators.reshape import assert_unique, pivot_years
+from ..operators.reshape import assert_unique, distinct_years, pivot_years
 from ..operators.unmapped import unmapped
 from ..sources.specs import load_specs, spec_rows
 from ..sources.tables import ReadStyle, located_specs, plan_scans, scan_group
@@ -136,6 +136,8 @@ def to_wide(
     pivot looks for it and withholds the model.
     """
     if isinstance(result, Harmonized):
+        # Each key keeps a row, so the years are known before the duplicates are resolved.
+        years = distinct_years(result.data) if years is None else years
         policy = "quarantine" if result.can_collide else "ignore"
         return pivot_years(result.long, years=years, on_duplicate=policy, sort=sort)
     return pivot_years(result, years=years, sort=sort)

@@ -36,8 +36,12 @@ def legacy_rows(
     rows: DataFrame, mapping: DataFrame, regions: DataFrame | Dictionary | None = None,
     spec: Sequence[str] = ("spec_id",),
 ) -> DataFrame:
-    """Translate variables by the map of their own source, and regions where one is known."""
-    mapped = map_by_spec(rows, mapping, spec=spec)
+    """Translate variables by the map of their own source, and regions where one is known.
+
+    ``spec`` are the columns that tell sources apart; ``mapping`` has the ones
+    its entries are valid for.
+    """
+    mapped = map_by_spec(rows, mapping, spec=[c for c in spec if c in mapping.columns])
     if regions is not None:
         mapped = map_lenient(mapped, "region", regions)
     return mapped.select(*spec, *IAMC_KEYS, "year", "value")
@@ -51,6 +55,12 @@ def legacy_wide(
     return pivot_sum(long, [*spec, *IAMC_KEYS], years=years, sort=sort)
 
 
+def write_legacy(long: DataFrame, path: str) -> None:
+    """Write the wide table, one folder ``output=pyam_<model>-<file>`` per source."""
+    wide = legacy_wide(long, ["spec_id", "output"]).drop("spec_id")
+    wide.hint("rebalance", "output").write.mode("overwrite").partitionBy("output").option("header", "true").csv(path)
+
+
 def plan_legacy(located: Sequence[dict]) -> ScanPlan:
     """Group sources by layout; columns are those the specification names."""
     groups, plan = defaultdict(list), ScanPlan()
@@ -109,11 +119,17 @@ def harmonize_legacy(
         heads.append({**rows[0], "spec_id": spec_id})
         pairs += [(spec_id, r["Variable value (original)"], r["Variable name (new)"], r["seq"]) for r in rows]
     located = [
-        {**s, "model_text": s["Source model"] or "Unknown Model", "unit_text": s["Unit"] or "undefined"}
+        {
+            **s, "model_text": s["Source model"] or "Unknown Model", "unit_text": s["Unit"] or "undefined",
+            "output": f"pyam_{s['Source model']}-{s['File name'].rsplit('.', 1)[0]}",
+        }
         for s in located_specs(spark, root, heads)
     ]
     plan = plan_legacy(located)
-    carry = {"source_model": "Source model", "file": "File name", "model_text": "model_text", "unit_text": "unit_text"}
+    carry = {
+        "source_model": "Source model", "file": "File name", "output": "output",
+        "model_text": "model_text", "unit_text": "unit_text",
+    }
     scans = []
     for layout, members in plan.groups.items():
         at = dict(layout.roles)
@@ -131,11 +147,11 @@ def harmonize_legacy(
     rows = union_sources(scans).filter(~F.col("bad_row"))
     mapping = spark.createDataFrame(pairs, "spec_id int, source string, target string, seq long")
     map_regions = measure(regions) if regions is not None else None
-    long = legacy_rows(rows, mapping, map_regions)
+    long = legacy_rows(rows, mapping, map_regions, ["spec_id", "output"])
 
     flagged = _flag_variables(rows, mapping)
     scope = ["source_model", "spec_id", "file"]
-    misses = [unmapped(flagged, {"Variables": ("original_variable", "_known")}, scope=scope, order=ORDER)]
+    misses = unmapped(flagged, {"Variables": ("original_variable", "_known")}, scope=scope, order=ORDER)
     if map_regions is not None:
         known = map_regions.frame.select(F.col("source").alias("key"))
         found = (
@@ -146,7 +162,16 @@ def harmonize_legacy(
         kept = issue(found, {"stage": "Regions", "severity": "warning", "message": F.concat("key", F.lit(" (kept)"))})
     else:
         kept = driver_issues(spark, [])
-    return LegacyRun(long, union_sources([planned, unmapped_issues(misses[0]), kept]))
+    counts = long.groupBy("spec_id").agg(F.count(F.lit(1)).alias("kept"))
+    table = spark.createDataFrame(
+        [(s["spec_id"], s["Source model"], s["File name"]) for members in plan.groups.values() for s in members],
+        "spec_id int, source_model string, file string",
+    ).join(counts, "spec_id", "left")
+    empty = issue(table, {
+        "when": F.col("kept").isNull(), "stage": "empty", "severity": "info",
+        "message": F.concat(F.lit("no valid data in "), "file"),
+    })
+    return LegacyRun(long, union_sources([planned, unmapped_issues(misses), kept, empty]))
 
 
 def _flag_variables(rows: DataFrame, mapping: DataFrame) -> DataFrame:

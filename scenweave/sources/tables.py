@@ -134,6 +134,7 @@ def plan_scans(
         if missing:
             note("columns", f"no column {', '.join(map(repr, missing))}, source skipped")
             continue
+        note("columns", "columns: " + ", ".join(r for r in ROLES if r in chosen), "found")
         doubled = [c for c, i in chosen.items() if c in names and names.index(c) != i]
         if doubled:
             note("columns", f"{', '.join(doubled)} given twice, the first spelling is used", "warning")

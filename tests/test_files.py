@@ -13,6 +13,7 @@ from scenweave import (
     to_wide,
     write_catalog,
     write_iamc,
+    write_legacy,
     write_report,
 )
 from scenweave.operators import load_dictionary, render_report
@@ -134,7 +135,7 @@ def test_files_that_cannot_be_used_are_set_apart(spark, tmp_path, dictionaries,
     run = harmonize(spark, str(tmp_path), overview(spark, *specs), dictionaries())
     assert rows(run.long.select("variable", "year", "value")) == [
         ("Production|Aluminium", 2040, None), ("Production|Steel", 2030, 8.0)]
-    said = {(r["file"], r["stage"], r["n"]) for r in run.issues.filter("stage not in ('source', 'duplicates')").collect()}
+    said = {(r["file"], r["stage"], r["n"]) for r in run.issues.filter("stage not in ('source', 'duplicates') and severity <> 'found'").collect()}
     assert said == {
         ("good.csv", "values", 1), ("good.csv", "values", 3), ("good.csv", "model", None),
         ("good.csv", "columns", None), ("no unit.csv", "columns", None), ("no region.csv", "columns", None),
@@ -181,7 +182,7 @@ def test_sheets_of_a_workbook_folder(spark, tmp_path, dictionaries, rows):
         ("M", "book.xlsx", "N", "Data", "", "Unnamed: 0|b")), regions)
     assert rows(run.long.select("source_model", "variable", "value")) == [
         ("M", "x", 2.0), ("M", "y", None), ("N", "x", 2.0), ("N", "y", None)]
-    assert run.issues.filter("stage = 'columns'").count() == 1
+    assert run.issues.filter("stage = 'columns' and severity = 'error'").count() == 1
     assert rows(catalog_files(spark, str(tmp_path)).select("file_name", "sheet_name", "column_names")) == [
         ("book.xlsx", s, "Unnamed: 0, scenario, region, a, b, unit, year, value") for s in ("Data", "Other")]
 
@@ -289,11 +290,15 @@ def test_legacy(spark, tmp_path, rows):
         (*first, "P | Alu", "Alu", *common, "U", None),
         ("M", "b.csv", "model", "", "", "Kind", "k", "K", *common, None, None),
         ("M", "b.csv", "", "", "", "Kind", "k", "K", *common, None, "kg"),
+        ("M", "b.csv", "none", "", "", "Kind", "other", "K", *common, None, "kg"),
         ("M", "b.csv", "bad", "", "", "idx", "k", "K", *common, None, "kg"),
         (*first[:2], "by index", *first[3:5], "idx", "0", "zero", *common, "U", None),
     ], legacy)
     regions = load_dictionary(spark.createDataFrame([("AT", "Austria")], "s string, t string"), "s", "t")
     run = harmonize_legacy(spark, str(tmp_path), load_specs(specs, legacy=True), regions)
+    write_legacy(run.long, str(tmp_path / "out"))
+    out = spark.read.option("header", True).csv(str(tmp_path / "out"))
+    assert {r["output"] for r in out.collect()} == {"pyam_Model A-a 250424", "pyam_model-b", "pyam_-b"}
     assert rows(legacy_wide(run.long).drop("spec_id")) == sorted([
         ("Model A", "s", "Austria", "Steel", "t", 3.0, None),
         ("Model A", "s", "Austria", "Total", "t", 4.0, None),
@@ -305,5 +310,7 @@ def test_legacy(spark, tmp_path, rows):
     assert said == {
         ("Model A", "Variables", "1 Variables not in the dictionary:"), ("Model A", "Variables", "Q | x - t"),
         ("Model A", "Regions", "DE (kept)"),
+        ("none", "Variables", "1 Variables not in the dictionary:"), ("none", "Variables", "k - kg"),
+        ("none", "empty", "no valid data in b.csv"),
         ("bad", "columns", "no column 'idx', source skipped"), ("by index", "columns", "no column 'idx', source skipped"),
     }
