@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,8 +12,13 @@ from ..operators.columns import nullify_tokens
 from ..operators.lookup import load_dictionary
 
 
-def read_dictionary_table(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
-    """A dictionary sheet stored as CSV or Parquet, with its row order in ``seq``."""
+def read_dictionary_table(
+    spark: SparkSession, path: str, sep: str = ",", keep: Sequence[str] = ()
+) -> DataFrame:
+    """A dictionary sheet stored as CSV or Parquet, with its row order in ``seq``.
+
+    Cells that spell a missing value are NULL, but for the ``keep`` columns.
+    """
     if path.rstrip("/").lower().endswith(".parquet"):
         df = spark.read.parquet(path)
         order = F.struct(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
@@ -23,7 +28,7 @@ def read_dictionary_table(spark: SparkSession, path: str, sep: str = ",") -> Dat
             F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()
         )
     df = df.select("*", order.alias("seq"))
-    return nullify_tokens(df)
+    return nullify_tokens(df, keep=keep)
 
 
 def load_dictionaries(tables: Mapping[str, DataFrame], seq: str = "seq") -> dict[str, DataFrame]:

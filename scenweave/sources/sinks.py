@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..fixed import IAMC_KEYS
 from ..operators.issues import render_report
-from ..operators.reshape import distinct_years, pivot_years
+from ..operators.reshape import pivot_years
 
 
 def write_iamc(
@@ -63,5 +63,3 @@ def write_report(issues: DataFrame, path: str) -> None:
 def write_regions(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", "true").csv(path)
 
-
-__all__ = ["distinct_years", "write_iamc", "write_regions", "write_report"]

@@ -4,6 +4,7 @@ import pytest
 
 from scenweave import (
     catalog_files,
+    convert_regions,
     harmonize,
     harmonize_legacy,
     legacy_wide,
@@ -277,6 +278,20 @@ def test_dictionary_files_and_summary(spark, tmp_path, rows):
     assert rows(spec_summary(specs)) == [(4, 3, 2)]
 
 
+def test_region_table(spark, tmp_path, rows):
+    put(tmp_path, "regions.csv", "source_region,note,target_region\nEUR,x,\nde,y,old\n ,z,\nNA,,\nQQ,,\n")
+    codes = spark.createDataFrame([("DE", "Germany"), ("NA", "Namibia")], "source string, target string")
+    path = str(tmp_path / "regions.csv")
+    done = convert_regions(spark, path, codes, keep=("source_region",))
+    out = spark.read.option("header", True).csv(str(tmp_path / "regions_regions_fullname"))
+    assert rows(out.select("note", "target_region").filter("note is not null")) == [("x", "Europe"), ("y", "Germany"), ("z", None)]
+    assert done.coverage.first().asDict() == {"total": 5, "converted": 3, "percent": 60.0}
+    assert [r[0] for r in done.misses.collect()] == [" ", "QQ"]
+    assert convert_regions(spark, path, codes, out=str(tmp_path / "o")).coverage.first()["converted"] == 2
+    with pytest.raises(KeyError):
+        convert_regions(spark, path, codes, column="region")
+
+
 def test_legacy(spark, tmp_path, rows):
     put(tmp_path, "M/a 250424.csv", "idx, Kind ,Good,R,S,Y,V,U\n0,P,Steel,AT,s,2020,1,t\n1,P,Steel,AT,s,2020,2,t\n"
         "2,P,,AT,s,2020,4,t\n3,P,Alu,DE,s,2030,,t\n4,P,Alu,,s,2030,7,t\n5,Q,x,AT,s,2020,9,t\n")
