@@ -85,6 +85,7 @@ def read_headers(files: DataFrame, candidates: Sequence[str] = (";", ",", "\t"))
         import csv
         import io
         import json
+        import re
 
         import pandas as pd
         from pyarrow import fs, orc, parquet
@@ -126,7 +127,8 @@ def read_headers(files: DataFrame, candidates: Sequence[str] = (";", ",", "\t"))
                 names = list(json.loads(text)) if text.strip() else []
                 return None, names, ["json"] * len(names), failure
             if not separator:
-                separator = max(wanted, key=text.count)
+                unquoted = re.sub(r'"[^"]*"', "", text)
+                separator = max(wanted, key=unquoted.count)
             cells = next(csv.reader(io.StringIO(text), delimiter=separator), []) if text else []
             return separator, named(cells), ["text"] * len(cells), failure or (None if cells else "no columns")
 

@@ -209,6 +209,7 @@ def test_catalog(spark, delivery, rows, tmp_path):
     put(delivery, "top.csv", "﻿a;b,c;\"d;e\"\n1;2;3\n")
     put(delivery, "M/deep/er/t.csv", "x\ty,z,,z\n")
     put(delivery, "M/deep/blank.csv", "\n")
+    put(delivery, "M/quoted.csv", '"a,b,c";"x\ny"\n1;2\n')
     put(delivery, "M/latin.csv", "Größe,b\n".encode("latin-1"))
     put(delivery, "M/notes.txt", "x\n")
     put(delivery, "M/real.xlsx", "not a folder")
@@ -219,6 +220,7 @@ def test_catalog(spark, delivery, rows, tmp_path):
         ("1b M1", "1b M1/run [v2] + x", "two.CSV", "", header),
         ("M", "M", "latin.csv", "", "Größe, b"),
         ("M", "M/deep", "blank.csv", "", ""),
+        ("M", "M", "quoted.csv", "", "a,b,c, x\ny"),
         ("M", "M/deep/er", "t.csv", "", "x\ty, z, Unnamed: 2, z.1"),
         (delivery.name, "", "top.csv", "", "a, b,c, d;e"),
     ], key=repr)
