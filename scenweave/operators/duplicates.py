@@ -120,7 +120,7 @@ def resolve_duplicates(
     ``null_policy="prefer_value"`` takes the value instead.
 
     Gives ``keys`` and ``value``. ``order`` are integer columns whose
-    combination is unique.
+    combination is unique, and the same each time the rows are computed.
     """
     if null_policy not in ("reference", "prefer_value"):
         raise ValueError(f"unknown null_policy {null_policy!r}")
@@ -150,7 +150,8 @@ def resolve_duplicates(
     contested = rows.join(opened, [*_GROUP, "_chunk"]).withColumn(
         "_at", F.col("_before") + F.row_number().over(in_chunk)
     )
-    numbered = F.concat(F.lit(DUPLICATE_PREFIX), F.col(f"_k.{rename}"), F.lit("_"), F.col("_at").cast("string"))
+    name = F.coalesce(F.col(f"_k.{rename}"), F.lit(""))
+    numbered = F.concat(F.lit(DUPLICATE_PREFIX), name, F.lit("_"), F.col("_at").cast("string"))
     kept = contested.filter(~F.col("_same") | (F.col("_at") == 1)).select(
         *fields(F.when(F.col("_same"), F.col(f"_k.{rename}")).otherwise(numbered)), F.col(value)
     )
