@@ -36,9 +36,10 @@ from .common import parts_for, slices, stage
 SHINGLE = 5
 #: Similarity as a fraction: OVER / UNDER.
 OVER, UNDER = 3, 4
-SLICE_BYTES = 4_000_000
-#: Bytes of text for each counting task, about three million shingles.
-BYTES_PER_COUNT = 20_000_000
+SLICE_BYTES = 2_000_000
+#: Bytes of text for each counting task, about 1.3 million shingles and 100 MB of its memory; on larger executors more is better, as
+#: slices times tasks is the number of rows shuffled.
+BYTES_PER_COUNT = 8_000_000
 SEVERAL = 0xFFFF
 
 _SPACE = np.zeros(256, dtype=bool)
