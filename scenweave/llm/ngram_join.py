@@ -8,10 +8,11 @@
 3. In order of rarity, two documents with similarity t share one of their first n - ceil(t n) + 1 shingles. What of
    this prefix is left after the unshared ones is posted; most documents post nothing. Overlaps only involve shared
    shingles, so their list is all that verification needs.
-4. Equal sets are one class. In each posting list every class meets the list's smallest one; links found so make
-   components. Then only classes of different components that still share a list are paired, so a group of thousands of near
-   copies costs pairs in proportion to its size, and no link between components is left out. Pairs pass the length and the
-   positional filter, are made distinct, and are verified once, behind a bound from counts per hash range (suffix filter).
+4. Equal sets are one class, and lists with equal members are one list. In each list every class meets the list's smallest
+   one; links found so give classes of a group one label. Then only classes of different labels that still share a list are
+   paired, so a group of thousands of near copies costs pairs in proportion to its size, and no link between groups is left
+   out. Pairs pass the length and the positional filter, are made distinct, and are verified once, behind a bound from counts
+   per hash range (suffix filter).
 
 Null handling: NULL texts and texts without words have an empty set, link with nothing and are components of their own. Rows
 without id get no component. Rows that repeat an id are one document: it has the links of all its texts. Other columns are
@@ -306,69 +307,85 @@ def components(links: DataFrame) -> DataFrame:
     joined, and turns grow with the logarithm of the longest chain.
     """
     edges = stage(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "edges")
-    state = None
-    while True:
+    state = edges.agg(F.count("*"), F.sum("v"), F.bit_xor(F.xxhash64("u", "v"))).first()
+    while state[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = stage(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "least")
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = stage(large.filter("u <> v"), "large")
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        large = both.join(stage(least, "least"), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = stage(large.filter("u <> v").distinct(), "large")
         low = stage(large.groupBy("u").agg(F.min("v").alias("m")), "low")
-        joined = large.join(low, "u")
-        small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(joined.select("u", F.col("m").alias("v")))
-        edges = stage(small.filter("u <> v").distinct(), "edges")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        small = large.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        edges = stage(small.union(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        now = edges.agg(F.count("*"), F.sum("v"), F.bit_xor(F.xxhash64("u", "v"))).first()
         if now == state:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
+            break
         state = now
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
 
 
 def similar(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(``digest, node, n``: classes of equal sets by their smallest document; ``a, b``: links that connect all similar ones)."""
-    named = sets.filter("n_shingles > 0 and doc_id is not null")
+    """(``digest, node, copies``: classes of equal sets by their smallest document; ``node, component`` of linked ones)."""
     classes = stage(
-        named.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.count("*").alias("copies")), "classes")
-    listed = stage(
-        named.filter("shared is not null").groupBy("digest").agg(
-            F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("shared").alias("shared"), F.first("prefix").alias("prefix")
-        ).drop("digest"), "lists")
-    posts = stage(
-        listed.select("node", "n", (F.octet_length("shared") / 8).cast("long").alias("s"), F.posexplode("prefix").alias("k", "hash")), "posts")
-    ends = posts.groupBy("hash").agg(F.min(F.struct("node", "n", "s", "k")).alias("p"), F.max("node").alias("last"))
-    pivots = stage(ends.filter("p.node < last").select("hash", "p"), "pivots")
+        sets.filter("n_shingles > 0 and doc_id is not null").groupBy("digest").agg(
+            F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.count("*").alias("copies"),
+            F.first("shared").alias("shared"), F.first("prefix").alias("prefix"),
+        ), "classes")
+    listed = classes.filter("shared is not null").withColumn("s", (F.octet_length("shared") / 8).cast("long"))
+    posts = stage(listed.select(
+        "node", "n", "s", F.floor(24 * (F.col("n") - F.col("s")) / F.col("s")).alias("level"),
+        F.floor(F.log("n") / F.log(F.lit(UNDER / OVER)) + 1e-9).alias("band"), F.posexplode("prefix").alias("k", "hash"),
+    ), "posts")
+    # Lists with the same members, such as those of all shingles of a passage, give the same pairs: one of them is kept.
+    bits = lambda seed: F.sum(F.xxhash64("node", F.lit(seed)).bitwiseAND((1 << 40) - 1))
+    lists = posts.groupBy("hash").agg(
+        F.min(F.struct("node", "n", "s", "k")).alias("pivot"), F.count("*").alias("members"), bits(0).alias("x"), bits(1).alias("y"))
+    lists = lists.filter("members > 1").groupBy("members", "x", "y").agg(F.min(F.struct("hash", "pivot")).alias("kept"))
+    members = stage(posts.join(lists.select("kept.*"), "hash"), "members")
 
     long_enough = f"{OVER} * greatest(na, nb) <= {UNDER} * least(na, nb)"
     placed = f"{OVER + UNDER} * (least(ka, kb) + 1 + least(sa - ka - 1, sb - kb - 1)) >= {OVER} * (na + nb)"
     side = lambda df, c: df.withColumnsRenamed({"node": c, "n": f"n{c}", "s": f"s{c}", "k": f"k{c}"})
-    first = side(pivots.select("hash", "p.*"), "a").join(side(posts, "b"), "hash").filter("a < b").filter(long_enough).filter(placed)
+    of_pivot = [F.col(f"pivot.{x}").alias(y) for x, y in (("node", "a"), ("n", "na"), ("s", "sa"), ("k", "ka"))]
+    first = side(members, "b").select(*of_pivot, "b", "nb", "sb", "kb").filter("a < b").filter(long_enough).filter(placed)
     tried = stage(first.select("a", "b").distinct(), "pivot-pairs")
     found = stage(verified(tried, listed), "links")
-    groups = stage(components(found), "groups")
-
-    # Lists whose classes lie in several components: only those pairs are left.
-    known = posts.join(pivots.select("hash"), "hash", "left_semi").join(groups, "node", "left").withColumn(
-        "component", F.coalesce("component", "node"))
-    ends = known.groupBy("hash").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
-    mixed_ = stage(known.join(ends.select("hash"), "hash", "left_semi"), "mixed-lists")
-    kinds = stage(mixed_.select("hash", "component").distinct(), "list-components")
-    across = kinds.select("hash", F.col("component").alias("ca")).join(
-        kinds.select("hash", F.col("component").alias("cb")), "hash").filter("ca < cb")
-    within = lambda c: side(mixed_, c).withColumnRenamed("component", f"c{c}")
-    left, right = within("a"), within("b")
-    rest = across.join(left, ["hash", "ca"]).join(right, ["hash", "cb"]).filter(long_enough).filter(placed)
+    # A label is a node of the same component: two steps towards smaller nodes lead most of a group to one.
+    near = stage(found.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("label")), "near")
+    labels = stage(
+        near.join(near.select(F.col("node").alias("label"), F.col("label").alias("next")), "label", "left")
+        .select("node", F.coalesce("next", "label").alias("label")), "labels")
+
+    # Lists whose classes have several labels: pairs across labels are left. Of what they share at most s is common and all that
+    # they do not share is apart, so their levels (24ths of what is not shared over s) add up to 8 at most.
+    known = stage(members.drop("pivot").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "labelled")
+    several = known.groupBy("hash").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
+    mixed_ = stage(known.join(several.select("hash"), "hash", "left_semi"), "mixed-lists")
+    kinds = stage(mixed_.select("hash", "label", "level", "band").distinct(), "kinds")
+    names = ("label", "level", "band")
+    renamed = lambda df, c: df.withColumnsRenamed({x: f"{x}_{c}" for x in names})
+    across = renamed(kinds, "a").join(renamed(kinds, "b"), "hash").filter(
+        "label_a < label_b and level_a + level_b <= 8 and abs(band_a - band_b) <= 1")
+    on = lambda c: ["hash", *[f"{x}_{c}" for x in names]]
+    rest = across.join(renamed(side(mixed_, "a"), "a"), on("a")).join(renamed(side(mixed_, "b"), "b"), on("b")).filter(long_enough).filter(placed)
     rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    more = stage(verified(rest, listed), "more-links")
-    return classes, found.unionByName(more)
+    links = found.unionByName(verified(rest, listed))
+
+    # Nodes with one label are one node to the components.
+    named = lambda df, c: df.join(labels.select(F.col("node").alias(c), F.col("label").alias(f"l{c}")), c, "left")
+    merged = named(named(links, "a"), "b").select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b"))
+    groups = components(merged)
+    both = labels.join(groups.withColumnRenamed("node", "label"), "label", "left").select("node", F.coalesce("component", "label").alias("component"))
+    return classes, both.unionByName(groups.join(labels.select("node"), "node", "left_anti"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id``: one row per document, with the smallest document id reachable by links."""
     sets = stage(shared_shingles(docs), "sets")
-    classes, links = similar(sets)
-    groups = components(links)
+    classes, groups = similar(sets)
     # A document alone in its class and component is its own component, and needs no join.
     labels = stage(
-        classes.join(groups, "node", "left").filter("copies > 1 or component < node")
-        .select("digest", F.coalesce("component", "node").alias("component")), "labels")
+        classes.select("digest", "node", "copies").join(groups, "node", "left").filter("copies > 1 or component < node")
+        .select("digest", F.coalesce("component", "node").alias("component")), "groups")
     return sets.select("doc_id", "n_shingles", "digest").join(labels, "digest", "left").select(
         "doc_id", "n_shingles",
         F.when((F.col("n_shingles") > 0) & F.col("component").isNotNull(), F.least("component", "doc_id")).otherwise(F.col("doc_id"))
