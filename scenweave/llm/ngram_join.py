@@ -8,8 +8,8 @@
 3. In order of rarity, two documents with similarity t share one of their first n - ceil(t n) + 1 shingles. What of
    this prefix is left after the unshared ones is posted; most documents post nothing. Overlaps only involve shared
    shingles, so their list is all that verification needs.
-4. Equal sets are one class, and lists with equal members are one list. In each list every class meets the list's smallest
-   one; links found so give classes of a group one label. Then only classes of different labels that still share a list are
+4. Equal sets are one class, and lists with equal members are one list. In each list every class meets the one with least
+   that is not shared; links found so give classes of a group one label. Then only classes of different labels that still share a list are
    paired, so a group of thousands of near copies costs pairs in proportion to its size, and no link between groups is left
    out. Pairs pass the length and the positional filter, are made distinct, and are verified once, behind a bound from counts
    per hash range (suffix filter).
@@ -42,6 +42,8 @@ SLICE_BYTES = 2_000_000
 #: slices times tasks is the number of rows shuffled.
 BYTES_PER_COUNT = 8_000_000
 SEVERAL = 0xFFFF
+#: Steps to which the part of a set that is not shared is told apart.
+FINE = 240
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
@@ -290,14 +292,16 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if (OVER + UNDER) * len(np.intersect1d(x, y, assume_unique=True)) >= need:
                     keep.append(i)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([v[i] for i in keep], pa.int64()) for v in (a, b)], names=["a", "b"]
+            [pa.array(v, pa.int64()) for v in (
+                [a[i] for i in keep], [b[i] for i in keep], [FINE * (8 * na[i] - len(sa[i])) // len(sa[i]) for i in keep])],
+            names=["a", "b", "level"],
         )
 
 
 def verified(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` that are similar. Both lists travel once per pair."""
+    """The pairs ``a, b`` that are similar, with the level of ``a``. Both lists travel once per pair."""
     side = lambda c: classes.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("shared").alias(f"s{c}"))
-    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(_overlaps, "a long, b long")
+    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(_overlaps, "a long, b long, level long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -332,13 +336,13 @@ def similar(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
         ), "classes")
     listed = classes.filter("shared is not null").withColumn("s", (F.octet_length("shared") / 8).cast("long"))
     posts = stage(listed.select(
-        "node", "n", "s", F.floor(24 * (F.col("n") - F.col("s")) / F.col("s")).alias("level"),
+        "node", "n", "s", F.floor(FINE * (F.col("n") - F.col("s")) / F.col("s")).alias("level"),
         F.floor(F.log("n") / F.log(F.lit(UNDER / OVER)) + 1e-9).alias("band"), F.posexplode("prefix").alias("k", "hash"),
     ), "posts")
     # Lists with the same members, such as those of all shingles of a passage, give the same pairs: one of them is kept.
     bits = lambda seed: F.sum(F.xxhash64("node", F.lit(seed)).bitwiseAND((1 << 40) - 1))
     lists = posts.groupBy("hash").agg(
-        F.min(F.struct("node", "n", "s", "k")).alias("pivot"), F.count("*").alias("members"), bits(0).alias("x"), bits(1).alias("y"))
+        F.min(F.struct("level", "node", "n", "s", "k")).alias("pivot"), F.count("*").alias("members"), bits(0).alias("x"), bits(1).alias("y"))
     lists = lists.filter("members > 1").groupBy("members", "x", "y").agg(F.min(F.struct("hash", "pivot")).alias("kept"))
     members = stage(posts.join(lists.select("kept.*"), "hash"), "members")
 
@@ -346,17 +350,20 @@ def similar(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     placed = f"{OVER + UNDER} * (least(ka, kb) + 1 + least(sa - ka - 1, sb - kb - 1)) >= {OVER} * (na + nb)"
     side = lambda df, c: df.withColumnsRenamed({"node": c, "n": f"n{c}", "s": f"s{c}", "k": f"k{c}"})
     of_pivot = [F.col(f"pivot.{x}").alias(y) for x, y in (("node", "a"), ("n", "na"), ("s", "sa"), ("k", "ka"))]
-    first = side(members, "b").select(*of_pivot, "b", "nb", "sb", "kb").filter("a < b").filter(long_enough).filter(placed)
+    first = side(members, "b").select(*of_pivot, "b", "nb", "sb", "kb").filter("a <> b").filter(long_enough).filter(placed)
     tried = stage(first.select("a", "b").distinct(), "pivot-pairs")
     found = stage(verified(tried, listed), "links")
-    # A label is a node of the same component: two steps towards smaller nodes lead most of a group to one.
-    near = stage(found.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("label")), "near")
-    labels = stage(
-        near.join(near.select(F.col("node").alias("label"), F.col("label").alias("next")), "label", "left")
-        .select("node", F.coalesce("next", "label").alias("label")), "labels")
+    # A label is a node of the same component. Pivots are the classes with least that is not shared, to which all similar
+    # ones of a group are similar, and steps towards such classes lead the group to one.
+    near = stage(found.groupBy(F.col("b").alias("node")).agg(F.min(F.struct("level", "a"))["a"].alias("label")), "near")
+    step = near.select(F.col("node").alias("label"), F.col("label").alias("next"))
+    labels = near
+    for _ in range(2):
+        labels = labels.join(step, "label", "left").select("node", F.coalesce("next", "label").alias("label"))
+    labels = stage(labels, "labels")
 
     # Lists whose classes have several labels: pairs across labels are left. Of what they share at most s is common and all that
-    # they do not share is apart, so their levels (24ths of what is not shared over s) add up to 8 at most.
+    # they do not share is apart, so their levels (what is not shared over s, in FINE steps) add up to a third.
     known = stage(members.drop("pivot").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "labelled")
     several = known.groupBy("hash").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
     mixed_ = stage(known.join(several.select("hash"), "hash", "left_semi"), "mixed-lists")
@@ -364,18 +371,22 @@ def similar(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     names = ("label", "level", "band")
     renamed = lambda df, c: df.withColumnsRenamed({x: f"{x}_{c}" for x in names})
     across = renamed(kinds, "a").join(renamed(kinds, "b"), "hash").filter(
-        "label_a < label_b and level_a + level_b <= 8 and abs(band_a - band_b) <= 1")
+        f"label_a < label_b and level_a + level_b <= {FINE // 3} and abs(band_a - band_b) <= 1")
     on = lambda c: ["hash", *[f"{x}_{c}" for x in names]]
     rest = across.join(renamed(side(mixed_, "a"), "a"), on("a")).join(renamed(side(mixed_, "b"), "b"), on("b")).filter(long_enough).filter(placed)
-    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(
+        tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
     links = found.unionByName(verified(rest, listed))
 
     # Nodes with one label are one node to the components.
     named = lambda df, c: df.join(labels.select(F.col("node").alias(c), F.col("label").alias(f"l{c}")), c, "left")
-    merged = named(named(links, "a"), "b").select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b"))
-    groups = components(merged)
-    both = labels.join(groups.withColumnRenamed("node", "label"), "label", "left").select("node", F.coalesce("component", "label").alias("component"))
-    return classes, both.unionByName(groups.join(labels.select("node"), "node", "left_anti"))
+    merged = stage(named(named(links, "a"), "b").select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")), "merged")
+    groups = components(merged).withColumnRenamed("node", "label")
+    own = lambda df, c: df.select(F.col(c).alias("node"), F.col(c).alias("label"))
+    nodes = labels.union(own(labels, "label")).union(own(merged, "a")).union(own(merged, "b")).distinct()
+    keyed = stage(nodes.join(groups, "label", "left").select("node", F.coalesce("component", "label").alias("key")), "keyed")
+    least = stage(keyed.groupBy("key").agg(F.min("node").alias("component")), "components")
+    return classes, keyed.join(least, "key").select("node", "component").distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
