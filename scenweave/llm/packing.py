@@ -40,7 +40,7 @@ class WordIds:
     starts anew.
     """
 
-    def __init__(self, path: str, most: int = 1_000_000) -> None:
+    def __init__(self, path: str, most: int = 2_500_000) -> None:
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
