@@ -70,7 +70,8 @@ def mix(
     """Documents (``doc_id, text, source``) with ``size, source_size, target, copies, taken, u`` in place of the text.
 
     ``copies``, at most ``cap``, is the number of times the mix takes the document; ``taken`` is ``copies * size``.
-    ``u`` is the random number, which tells texts under one id apart. ``document_weight`` names a column of positive weights by which the documents of a source expect copies (else alike).
+    ``u`` is the random number, which tells texts under one id apart. ``document_weight`` names a column of positive weights by which the documents of a source expect copies (else alike);
+    with it a source stays below its target where documents would need more copies than the next whole number.
     """
     sized = stage(
         docs.select(

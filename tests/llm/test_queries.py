@@ -1,0 +1,34 @@
+"""The registered queries of this subpackage, against their SQL where there is one, and the pipeline."""
+
+import pytest
+
+import __spark_entry__ as registry
+import check_oracle
+import corpus_pipeline
+from scenweave.llm.queries import QUERIES
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query(spark, name):
+    verdict, _ = check_oracle.compare(spark, check_oracle.connect(FOLDER), name, FOLDER)
+    assert verdict.startswith(("ok", "rows only"))
+
+
+def test_pipeline_stages(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    columns, n = docs.columns, docs.count()
+    for name, step in corpus_pipeline.STAGES[:-1]:
+        after = corpus_pipeline.stage(step(spark, docs, FOLDER), "test")
+        assert after.columns == columns
+        if name == "quality classifier":
+            assert 0.6 * n < after.count() < n
+        elif name == "n-gram Jaccard join":
+            assert after.count() < docs.count() and after.select("doc_id").distinct().count() == after.count()
+        elif name == "secret scans":
+            assert after.count() == docs.count() and after.filter("text rlike 'AKIA[A-Z0-9]{16}'").count() == 0
+        docs = after
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER)
+    assert packed.filter("start = 0").count() == docs.count()
+    assert registry.queries()["pipeline"](spark, FOLDER).filter("start = 0").count() == docs.count()
