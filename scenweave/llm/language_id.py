@@ -123,9 +123,9 @@ def identify(pages: DataFrame, docs: DataFrame) -> DataFrame:
         judged.withColumns({"host": host, "guess": best(F.col("loglik"))}).withColumns({
             "domain": F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1), "suffix": F.regexp_extract("host", r"([^.]+)$", 1),
         }), "judged")
-    one = lambda i: F.sum((F.col("guess") == i).cast("long"))
+    one = lambda i: F.coalesce(F.sum((F.col("guess") == i).cast("long")), F.lit(0))
     counts = lambda by, name: stage(judged.groupBy(by).agg(F.array(*[one(i) for i in count]).alias(name)), name).withColumnRenamed(by, f"_{by}")
-    every = judged.agg(F.array(*[one(i) for i in count]).alias("n")).first()["n"] or [0] * len(names)
+    every = judged.agg(F.array(*[one(i) for i in count]).alias("n")).first()["n"]
     prior = [(n + 1.0) / (sum(every) + len(names)) for n in every]
     joined = judged
     for by in ("suffix", "domain", "host", "declared"):

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .common import parts_for, stage
 
 PIVOTS, PREFIX = 128, 32
-SHARE, AT_LEAST = 0.3, 512
+SHARE, AT_LEAST = 0.3, 1000
 BLOCK, QUERIES = 16_000, 800
 
 

@@ -223,7 +223,7 @@ def test_permutation_index_recall(spark):
     vectors = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").select("vec_id", "embedding")
     rows = vectors.collect()
     x, ids = np.array([r["embedding"] for r in rows], dtype=np.float64), np.array([r["vec_id"] for r in rows])
-    got = permutation_index.nearest(vectors, vectors.filter("vec_id % 20 = 0"), 20, at_least=32, block=200, each=10).collect()
+    got = permutation_index.nearest(vectors, vectors.filter("vec_id % 20 = 0"), 20, share=0.5, at_least=32, block=200, each=10).collect()
     found = {}
     for r in got:
         found.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
