@@ -133,7 +133,8 @@ def text_sets(texts: pa.Array, k: int = SHINGLE) -> list[np.ndarray]:
 
 TO_COUNT = "bucket int, batch long, hashes binary, places binary, counts binary, docs binary"
 FROM_COUNT = "batch long, hashes binary, places binary, counts binary, docs binary"
-SETS = "doc_id long, n_shingles long, digest binary, prefix array<long>, shared binary"
+SETS = "doc_id long, n_shingles long, digest binary, shared binary, counts binary"
+LISTS = "node long, n long, s long, prefix array<long>, shared binary"
 
 
 def _send(n_buckets: int):
@@ -227,8 +228,26 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _batch(rows, FROM_COUNT)
 
 
+def posted(size: int, shared: int) -> int:
+    """How many shared shingles the prefix of a set holds behind those that are its own."""
+    return size - -(-OVER * size // UNDER) + 1 - (size - shared)
+
+
+def _rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Classes with the shingles that other classes hold too (counted more often than the class has copies), rarest first."""
+    for batch in batches:
+        rows = []
+        for node, n, copies, shared, counts in zip(*[column.to_pylist() for column in batch.columns], strict=True):
+            h, c = np.frombuffer(shared, "<u8"), np.frombuffer(counts, "<u4")
+            h, c = h[c > copies], c[c > copies]
+            left = posted(n, len(h))
+            if left > 0 and len(h):
+                rows.append((node, n, len(h), h[np.lexsort((h, c))[:left]].view(np.int64), h.tobytes()))
+        yield _batch(rows, LISTS)
+
+
 def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per document; ``prefix`` (rarest first) and ``shared`` (by hash) where something of its prefix is shared."""
+    """One row per document, with ``shared`` hashes in order and their ``counts`` where something of its prefix is shared."""
     parts: dict[int, list] = {}
     tables: dict[int, bytes] = {}
     for batch in batches:
@@ -259,17 +278,16 @@ def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for i, size in enumerate(sizes.tolist()):
             a, b = bounds[i], bounds[i + 1]
-            left = size - -(-OVER * size // UNDER) + 1 - (size - (b - a))
-            prefix = shared = None
-            if size and left > 0:
-                rare = np.lexsort((h[a:b], c[a:b]))[:left]
-                prefix, shared = h[a:b][rare].view(np.int64), np.sort(h[a:b]).tobytes()
-            rows.append((ids[i] if known[i] else None, size, digests[i], prefix, shared))
+            shared = counts = None
+            if size and posted(size, b - a) > 0:
+                rare = np.argsort(h[a:b])
+                shared, counts = h[a:b][rare].tobytes(), c[a:b][rare].astype("<u4").tobytes()
+            rows.append((ids[i] if known[i] else None, size, digests[i], shared, counts))
         yield _batch(rows, SETS)
 
 
 def shared_shingles(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, digest, prefix, shared`` of every document, from one reading of the texts."""
+    """``doc_id, n_shingles, digest, shared, counts`` of every document, from one reading of the texts."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0]
     n = parts_for(size, BYTES_PER_COUNT)
     return (
@@ -332,9 +350,9 @@ def similar(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     classes = stage(
         sets.filter("n_shingles > 0 and doc_id is not null").groupBy("digest").agg(
             F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.count("*").alias("copies"),
-            F.first("shared").alias("shared"), F.first("prefix").alias("prefix"),
+            F.first("shared").alias("shared"), F.first("counts").alias("counts"),
         ), "classes")
-    listed = classes.filter("shared is not null").withColumn("s", (F.octet_length("shared") / 8).cast("long"))
+    listed = stage(classes.filter("shared is not null").select("node", "n", "copies", "shared", "counts").mapInArrow(_rarest, LISTS), "lists")
     posts = stage(listed.select(
         "node", "n", "s", F.floor(FINE * (F.col("n") - F.col("s")) / F.col("s")).alias("level"),
         F.floor(F.log("n") / F.log(F.lit(UNDER / OVER)) + 1e-9).alias("band"), F.posexplode("prefix").alias("k", "hash"),
@@ -347,7 +365,11 @@ def similar(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     members = stage(posts.join(lists.select("kept.*"), "hash"), "members")
 
     long_enough = f"{OVER} * greatest(na, nb) <= {UNDER} * least(na, nb)"
-    placed = f"{OVER + UNDER} * (least(ka, kb) + 1 + least(sa - ka - 1, sb - kb - 1)) >= {OVER} * (na + nb)"
+    # All that two sets do not share is apart, and they have no more in common than what either shares with any.
+    placed = (
+        f"{OVER + UNDER} * (least(ka, kb) + 1 + least(sa - ka - 1, sb - kb - 1)) >= {OVER} * (na + nb) "
+        f"and {UNDER - OVER} * least(sa, sb) >= {OVER} * (na - sa + nb - sb)"
+    )
     side = lambda df, c: df.withColumnsRenamed({"node": c, "n": f"n{c}", "s": f"s{c}", "k": f"k{c}"})
     of_pivot = [F.col(f"pivot.{x}").alias(y) for x, y in (("node", "a"), ("n", "na"), ("s", "sa"), ("k", "ka"))]
     first = side(members, "b").select(*of_pivot, "b", "nb", "sb", "kb").filter("a <> b").filter(long_enough).filter(placed)
