@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..fixed import DUPLICATE_PREFIX, ORDER
+from ..functions.text import nullify
 from .unmapped import unmapped
 
 BROADCAST_ROWS = 500_000
@@ -52,8 +53,9 @@ def load_dictionary(
     """Reduce a dictionary table to one row per source: the last one wins.
 
     A blank target on the last row leaves the key unmapped. In a unit table
-    rows without source or target are passed over first, and a blank factor
-    counts as 1. ``seq`` names the columns that give the order of the rows;
+    rows without source or target are passed over first, as are those whose
+    factor is a text that spells no number: their unit stays unmapped and is
+    reported as such. A blank factor counts as 1. ``seq`` names the columns that give the order of the rows;
     without it the order of the table is taken.
     """
     absent = [c for c in (source, target, factor) if c and c not in df.columns]
@@ -61,16 +63,19 @@ def load_dictionary(
         raise KeyError(f"dictionary has no column {', '.join(map(repr, absent))}")
     position = F.struct(*seq) if seq else F.monotonically_increasing_id()
     entry = [F.col(f"`{target}`").cast("string").alias("target")]
+    spelled = F.lit(True)
     if factor:
         number = F.col(f"`{factor}`").try_cast("double")
+        spelled = number.isNotNull() | F.coalesce(nullify(F.trim(F.col(f"`{factor}`").cast("string"))), F.lit("")).eqNullSafe("")
         entry.append(F.coalesce(F.nanvl(number, F.lit(None)), F.lit(1.0)).alias("factor"))
     rows = df.select(
         F.col(f"`{source}`").cast("string").alias("source"),
         F.struct(*entry).alias("entry"),
         position.alias("seq"),
+        spelled.alias("spelled"),
     ).filter(F.col("source").isNotNull())
     if factor:
-        rows = rows.filter(F.col("entry.target").isNotNull())
+        rows = rows.filter(F.col("entry.target").isNotNull() & F.col("spelled"))
     return rows.groupBy("source").agg(F.max_by("entry", "seq").alias("entry")).select("source", "entry.*")
 
 

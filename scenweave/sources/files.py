@@ -91,12 +91,15 @@ def read_headers(files: DataFrame, candidates: Sequence[str] = (";", ",", "\t"))
         from pyarrow import fs, orc, parquet
 
         def first_record(stream):
-            data = b""
+            data, counted, quotes = b"", 0, 0
             while block := stream.read(65536):
                 data += block
-                end = data.find(b"\n")
-                while end >= 0 and data.count(b'"', 0, end) % 2:
-                    end = data.find(b"\n", end + 1)
+                # Each byte is looked at once: a line break counts after an even number of quotes.
+                while (end := data.find(b"\n", counted)) >= 0:
+                    quotes += data.count(b'"', counted, end)
+                    counted = end + 1
+                    if quotes % 2 == 0:
+                        break
                 if end >= 0:
                     data = data[:end]
                     break
@@ -105,10 +108,11 @@ def read_headers(files: DataFrame, candidates: Sequence[str] = (";", ",", "\t"))
         def named(cells):
             seen, names = {}, []
             for i, cell in enumerate(cells):
-                name = cell if cell != "" else f"Unnamed: {i}"
-                n = seen.get(name, 0)
-                seen[name] = n + 1
-                names.append(f"{name}.{n}" if n else name)
+                name = base = cell if cell != "" else f"Unnamed: {i}"
+                while name in names or (name != base and name in cells):
+                    seen[base] = seen.get(base, 0) + 1
+                    name = f"{base}.{seen[base]}"
+                names.append(name)
             return names
 
         def describe(uri, kind, separator):
@@ -117,15 +121,19 @@ def read_headers(files: DataFrame, candidates: Sequence[str] = (";", ",", "\t"))
                 with system.open_input_file(path) as source:
                     schema = parquet.read_schema(source) if kind == "parquet" else orc.ORCFile(source).schema
                 return None, list(schema.names), [str(t) for t in schema.types], None
+            if kind == "json":
+                names = {}  # of all records, in order of appearance
+                with system.open_input_stream(path, compression=None) as stream:
+                    for line in io.TextIOWrapper(stream, encoding="utf-8-sig"):
+                        if line.strip():
+                            names.update(dict.fromkeys(json.loads(line)))
+                return None, list(names), ["json"] * len(names), None
             with system.open_input_stream(path, compression=None) as stream:
                 record = first_record(stream)
             try:
                 text, failure = record.decode("utf-8"), None
             except UnicodeDecodeError as error:
                 text, failure = record.decode("latin-1"), str(error)
-            if kind == "json":
-                names = list(json.loads(text)) if text.strip() else []
-                return None, names, ["json"] * len(names), failure
             if not separator:
                 unquoted = re.sub(r'"[^"]*"', "", text)
                 separator = max(wanted, key=unquoted.count)

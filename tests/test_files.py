@@ -331,3 +331,21 @@ def test_legacy(spark, tmp_path, rows):
         ("none", "empty", "no valid data in b.csv"),
         ("bad", "columns", "no column 'idx', source skipped"), ("by index", "columns", "no column 'idx', source skipped"),
     }
+
+
+def test_headers_of_odd_quotes_repeated_names_and_late_json_columns(spark, tmp_path):
+    import time
+
+    from scenweave.sources.files import read_headers
+
+    (tmp_path / "quote.csv").write_text('a,5" pipe,c\n' + "1,2,3\n" * 200_000)
+    (tmp_path / "names.csv").write_text("a,a,a.1\n1,2,3\n")
+    (tmp_path / "late.json").write_text('{"x": 1}\n\n{"x": 2, "region": "AT"}\n')
+    files = spark.createDataFrame(
+        [(f"file://{tmp_path}/{n}", k, ",") for n, k in (("quote.csv", "csv"), ("names.csv", "csv"), ("late.json", "json"))],
+        "file_path string, format string, separator string",
+    )
+    start = time.time()
+    got = {r["file_path"].rsplit("/", 1)[1]: r["names"] for r in read_headers(files).collect()}
+    assert time.time() - start < 60 and len(set(got["names.csv"])) == 3 and got["names.csv"][0] == "a" and got["names.csv"][2] == "a.1"
+    assert got["late.json"] == ["x", "region"]

@@ -273,3 +273,14 @@ def test_codelist_file(spark, tmp_path):
                     "- C:", "    subsector_name: ", "  - source:: x", "    unit: "]
     escaped = op.render_codelist(read_codelist(spark, str(source)), escape=True).orderBy("seq", "line_no")
     assert escaped.first()["line"] == '- "A|B":' and '"two, lines; \\"q\\""' in escaped.collect()[1]["line"]
+
+
+def test_a_factor_that_is_no_number_leaves_the_unit_unmapped(spark):
+    from scenweave.operators import load_dictionary
+
+    units = spark.createDataFrame(
+        [("a", "t", "1,000", 0), ("b", "t", "1000x", 1), ("c", "t", "", 2), ("d", "t", None, 3), ("e", "t", "2.5", 4), ("f", "t", "NA", 5)],
+        "s string, t string, f string, seq int",
+    )
+    got = {r["source"]: r["factor"] for r in load_dictionary(units, "s", "t", "f", ["seq"]).collect()}
+    assert got == {"c": 1.0, "d": 1.0, "e": 2.5, "f": 1.0}

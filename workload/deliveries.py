@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,11 +15,8 @@ from . import views as v
 
 
 def new_folder(spark: SparkSession) -> str:
-    """A folder of its own in the shared one; a local one only where none is set, as in a test."""
-    try:
-        return f"{stage_folder(spark)}/delivery-{uuid.uuid4().hex}"
-    except ValueError:
-        return tempfile.mkdtemp(prefix="delivery-")
+    """A folder of its own in the shared one."""
+    return f"{stage_folder(spark)}/delivery-{uuid.uuid4().hex}"
 
 
 def deliver(spark: SparkSession, sf: str) -> str:
