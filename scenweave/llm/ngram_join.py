@@ -10,8 +10,8 @@
    shingles, so their list is all that verification needs.
 4. Equal sets are one class, and lists with equal members are one list. In each list every class meets the one with least
    that is not shared; links found so give classes of a group one label. Then only classes of different labels that still share a list are
-   paired, so a group of thousands of near copies costs pairs in proportion to its size, and no link between groups is left
-   out. Pairs pass the length and the positional filter, are made distinct, and are verified once, behind a bound from counts
+   paired, if what their labels have in common leaves room for a link, so a group of thousands of near copies costs pairs in
+   proportion to its size, and no link between groups is left out. Pairs pass the length and the positional filter, are made distinct, and are verified once, behind a bound from counts
    per hash range (suffix filter).
 
 Null handling: NULL texts and texts without words have an empty set, link with nothing and are components of their own. Rows
@@ -316,10 +316,27 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def verified(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` that are similar, with the level of ``a``. Both lists travel once per pair."""
+def _with_lists(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` with sizes and lists of shared shingles. Both lists travel once per pair."""
     side = lambda c: classes.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("shared").alias(f"s{c}"))
-    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(_overlaps, "a long, b long, level long")
+    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "sa", "sb")
+
+
+def verified(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` that are similar, with the level of ``a``."""
+    return _with_lists(pairs, classes).mapInArrow(_overlaps, "a long, b long, level long")
+
+
+def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sa, sb = batch.column("sa").to_pylist(), batch.column("sb").to_pylist()
+        common = [len(np.intersect1d(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8"), assume_unique=True)) for x, y in zip(sa, sb, strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(common, pa.int64())], names=["a", "b", "common"])
+
+
+def overlaps(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """``a, b, common``: how many shared shingles both sets of a pair ``a, b`` hold."""
+    return _with_lists(pairs, classes).mapInArrow(_common, "a long, b long, common long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -383,20 +400,31 @@ def similar(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     for _ in range(2):
         labels = labels.join(step, "label", "left").select("node", F.coalesce("next", "label").alias("label"))
     labels = stage(labels, "labels")
+    own = overlaps(labels.select(F.col("node").alias("a"), F.col("label").alias("b")), listed)
+    own = stage(own.withColumnsRenamed({"a": "node", "b": "label", "common": "own"}), "own")
 
     # Lists whose classes have several labels: pairs across labels are left. Of what they share at most s is common and all that
     # they do not share is apart, so their levels (what is not shared over s, in FINE steps) add up to a third.
-    known = stage(members.drop("pivot").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "labelled")
+    known = members.drop("pivot").join(own, "node", "left")
+    known = known.withColumns({"label": F.coalesce("label", "node"), "extra": F.coalesce(F.col("s") - F.col("own"), F.lit(0))})
+    known = stage(known.drop("own"), "labelled")
     several = known.groupBy("hash").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
     mixed_ = stage(known.join(several.select("hash"), "hash", "left_semi"), "mixed-lists")
-    kinds = stage(mixed_.select("hash", "label", "level", "band").distinct(), "kinds")
+    kinds = stage(mixed_.groupBy("hash", "label", "level", "band").agg(F.max("extra").alias("extra"), F.min("n").alias("least")), "kinds")
     names = ("label", "level", "band")
-    renamed = lambda df, c: df.withColumnsRenamed({x: f"{x}_{c}" for x in names})
+    renamed = lambda df, c: df.withColumnsRenamed({x: f"{x}_{c}" for x in (*names, "extra", "least")})
     across = renamed(kinds, "a").join(renamed(kinds, "b"), "hash").filter(
         f"label_a < label_b and level_a + level_b <= {FINE // 3} and abs(band_a - band_b) <= 1")
+    # What two sets have in common lies in both labels, or in what one of them shares with any set but not with its own label.
+    # So labels are compared once, and a group of copies is not paired with sets that its label is not similar to.
+    met = stage(overlaps(across.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")).distinct(), listed), "label-pairs")
+    met = met.withColumnsRenamed({"a": "label_a", "b": "label_b"})
+    enough = f"{OVER + UNDER} * (common + extra_a + extra_b) >= {OVER} * "
     on = lambda c: ["hash", *[f"{x}_{c}" for x in names]]
-    rest = across.join(renamed(side(mixed_, "a"), "a"), on("a")).join(renamed(side(mixed_, "b"), "b"), on("b")).filter(long_enough).filter(placed)
-    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(
+    rest = across.join(met, ["label_a", "label_b"]).filter(enough + "(least_a + least_b)").drop("extra_a", "extra_b")
+    rest = rest.join(renamed(side(mixed_, "a"), "a"), on("a")).join(renamed(side(mixed_, "b"), "b"), on("b"))
+    rest = rest.filter(long_enough).filter(placed).filter(enough + "(na + nb)")
+    rest = stage(rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs").join(
         tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
     links = found.unionByName(verified(rest, listed))
 
@@ -404,8 +432,8 @@ def similar(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     named = lambda df, c: df.join(labels.select(F.col("node").alias(c), F.col("label").alias(f"l{c}")), c, "left")
     merged = stage(named(named(links, "a"), "b").select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")), "merged")
     groups = components(merged).withColumnRenamed("node", "label")
-    own = lambda df, c: df.select(F.col(c).alias("node"), F.col(c).alias("label"))
-    nodes = labels.union(own(labels, "label")).union(own(merged, "a")).union(own(merged, "b")).distinct()
+    itself = lambda df, c: df.select(F.col(c).alias("node"), F.col(c).alias("label"))
+    nodes = labels.union(itself(labels, "label")).union(itself(merged, "a")).union(itself(merged, "b")).distinct()
     keyed = stage(nodes.join(groups, "label", "left").select("node", F.coalesce("component", "label").alias("key")), "keyed")
     least = stage(keyed.groupBy("key").agg(F.min("node").alias("component")), "components")
     return classes, keyed.join(least, "key").select("node", "component").distinct()
