@@ -10,9 +10,9 @@
    shingles, so their list is all that verification needs.
 4. Equal sets are one class, and lists with equal members are one list. In each list every class meets the one with least
    that is not shared; links found so give classes of a group one label. Then only classes of different labels that still share a list are
-   paired, if what their labels have in common leaves room for a link, so a group of thousands of near copies costs pairs in
-   proportion to its size, and no link between groups is left out. Pairs pass the length and the positional filter, are made distinct, and are verified once, behind a bound from counts
-   per hash range (suffix filter).
+   paired, if what their labels have in common leaves room for a link, so most of the pairs of a group of thousands of near
+   copies are never made, and no link between groups is left out. Pairs pass the length and the positional filter, are made
+   distinct, and are verified once, behind a bound from counts per hash range (suffix filter).
 
 Null handling: NULL texts and texts without words have an empty set, link with nothing and are components of their own. Rows
 without id get no component. Rows that repeat an id are one document: it has the links of all its texts. Other columns are

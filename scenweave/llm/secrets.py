@@ -104,11 +104,12 @@ def link(scanned: DataFrame, scope: int = SCOPE) -> DataFrame:
         "doc_id", "text_md5",
         F.explode(F.concat(F.filter("base", lambda x: x["k"] == KINDS.index("access")), "weak")).alias("part"),
     ).select("doc_id", "text_md5", "part.*").distinct()
-    order = W.partitionBy("doc_id", "text_md5").orderBy("s", "k")
+    # Both windows run from their first row on; a frame that ends at the last row would be read again for every row.
+    text, up_to = W.partitionBy("doc_id", "text_md5"), (W.unboundedPreceding, 0)
     access = F.col("k") == KINDS.index("access")
     near = parts.withColumns({
-        "ended": F.last(F.when(access, F.col("e")), True).over(order.rowsBetween(W.unboundedPreceding, 0)),
-        "starts": F.first(F.when(access, F.col("s")), True).over(order.rowsBetween(0, W.unboundedFollowing)),
+        "ended": F.last(F.when(access, F.col("e")), True).over(text.orderBy("s", "k").rowsBetween(*up_to)),
+        "starts": F.last(F.when(access, F.col("s")), True).over(text.orderBy(F.desc("s"), F.desc("k")).rowsBetween(*up_to)),
     })
     linked = near.filter(~access & ((F.col("s") - F.col("ended") <= scope) | (F.col("starts") - F.col("e") <= scope)))
     return linked.groupBy("doc_id", "text_md5").agg(F.collect_list(F.struct("s", "k", "e")).alias("linked"))
