@@ -24,8 +24,9 @@ ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 ASSIGNED_AT_LEAST = 6
-#: Weak candidates: a bare token of 40 characters as cloud secrets have, and the address of a service.
-SECRET = r"(?<![A-Za-z0-9+/=])(?=[A-Za-z0-9+/]*[0-9])(?=[A-Za-z0-9+/]*[a-z])(?=[A-Za-z0-9+/]*[A-Z])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=])"
+#: Weak candidates: a bare token of 40 characters as cloud secrets have, also right after the ``=`` of an assignment, and the
+#: address of a service.
+SECRET = r"(?<![A-Za-z0-9+/])(?=[A-Za-z0-9+/]*[0-9])(?=[A-Za-z0-9+/]*[a-z])(?=[A-Za-z0-9+/]*[A-Z])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=])"
 ENDPOINT = r"(?<![A-Za-z0-9.-])(?:https?://)?[a-z0-9.-]{1,200}\.amazonaws\.com(?:/[A-Za-z0-9._/-]*)?"
 #: Kinds in the order in which spans that start together are listed.
 KINDS = ("assign", "access", "hex", "secret", "endpoint")
