@@ -2,7 +2,8 @@
 
 A bounded sample of the vectors (the ``pivots`` smallest hashes) serves as pivots. Every vector is represented by the order of its
 ``prefix`` nearest pivots and posted, with the place it gives each, in those pivots' inverted files. A query reads the
-files of its own nearest pivots and sums, per vector, what the footrule distance of the two orders leaves of its largest value; the
+files of its own nearest pivots and sums, per vector, what the footrule distance of the two orders leaves of its largest value. As
+orders tell the angle alone and the measure is the inner product, that sum is taken times the vector's length; the
 best ``share`` of the vectors, ``at_least`` many, are ranked anew by the true measure on the original vectors.
 
 Vectors are dealt by hash to blocks of about ``BLOCK`` rows, each with its own inverted files, and queries to sets of about
@@ -41,6 +42,13 @@ def orders(vectors: np.ndarray, pivots: np.ndarray, prefix: int) -> np.ndarray:
     return np.argsort(-near, axis=1, kind="stable")[:, :prefix]
 
 
+def lengths(vectors: np.ndarray) -> np.ndarray:
+    """Lengths relative to the longest vector, in steps of a millionth, so that those that differ by rounding alone are equal."""
+    peak = np.abs(vectors).max(axis=1)
+    size = np.log(peak) + np.log(np.linalg.norm(vectors / peak[:, None], axis=1))
+    return np.exp(np.round(size - size.max(), 6))
+
+
 class InvertedFiles:
     """Per pivot the rows that have it among their nearest ones, and the place they give it."""
 
@@ -69,9 +77,10 @@ def _search(k: int, pivots: np.ndarray, prefix: int, share: float, at_least: int
             ids, x = vectors["vec_id"].to_numpy(), np.array(vectors["embedding"].tolist(), dtype=np.float64)
             q_ids, q = queries["vec_id"].to_numpy(), np.array(queries["embedding"].tolist(), dtype=np.float64)
             files, asked = InvertedFiles(orders(x, pivots, prefix), len(pivots)), orders(q, pivots, prefix)
+            length = lengths(x)
             wanted = min(len(ids), max(at_least, int(np.ceil(share * len(ids))), k + 1))
             for i in range(len(q_ids)):
-                gain = files.near(asked[i])
+                gain = files.near(asked[i]) * length
                 edge = np.partition(gain, len(ids) - wanted)[len(ids) - wanted]
                 rows = np.flatnonzero(gain > edge)
                 rows = np.concatenate([rows, np.flatnonzero(gain == edge)[: wanted - len(rows)]])

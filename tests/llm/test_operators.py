@@ -246,6 +246,16 @@ def test_permutation_index_recall(spark):
     assert hits >= 0.9 * 20 * len(found)
 
 
+def test_permutation_index_recall_with_lengths(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").select("vec_id", "embedding").orderBy("vec_id").collect()
+    x, ids = np.array([r["embedding"] for r in rows], dtype=np.float64), np.array([r["vec_id"] for r in rows])
+    x *= np.exp(np.random.default_rng(0).normal(0, 0.7, len(x)))[:, None]
+    vectors = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x)], "vec_id long, embedding array<double>")
+    got = permutation_index.nearest(vectors, vectors.filter("vec_id % 20 = 0"), 20, at_least=32).collect()
+    best = {i: set(ids[ids != i][np.argsort(-(x[ids != i] @ x[ids == i][0]), kind="stable")[:20]]) for i in ids[ids % 20 == 0]}
+    assert sum(r["vec_id"] in best[r["query_id"]] for r in got) >= 0.95 * 20 * len(best)
+
+
 def test_permutation_index_odd_vectors(spark):
     v = [(i, [1.0, 0.0]) for i in range(1, 30)] + [(0, [1.0, 0.5]), (40, None), (41, []), (42, [0.0, 0.0]), (43, [float("nan"), 1.0]), (44, [1.0, None])]
     vectors = spark.createDataFrame(v + [(45, [float("inf"), 1.0]), (46, [1.0, 2.0, 3.0]), (None, [1.0, 1.0])], "vec_id long, embedding array<float>")
