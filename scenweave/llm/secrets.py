@@ -1,10 +1,11 @@
 """Secrets in texts: spans of three strong patterns, and weak candidates that count only next to a complementary part.
 
 An access identifier, a secret and an endpoint of one service are often kept near each other. A bare 40-character token or a
-host name alone says nothing; within ``SCOPE`` code points of an access identifier it completes a credential. The parts of
-each text are joined to each other by interval: in one pass over the parts in order of position, a window carries the nearest
-access identifier on either side, so the work is linear in the parts and no pairs are made. A candidate is reported when
-that identifier lies within the scope, which holds for the nearest if it holds for any.
+host name alone says nothing; within ``SCOPE`` code points of a part of another kind it completes a credential. The parts of
+each text are joined to each other by interval: in passes over the parts in order of position, windows carry the nearest part of
+each kind on either side, so the work is linear in the parts and no pairs are made. A candidate is reported when
+such a part lies within the scope, which holds for the nearest if it holds for any. A secret and an endpoint that overlap, as a
+token in the path of an address does, are one part and do not complete each other.
 
 Spans are code point positions, end exclusive. NULL and empty texts have no spans. Links depend on the text alone, so rows that
 repeat it, and rows without id, get the same ones. All work is done by built-in functions.
@@ -75,44 +76,58 @@ def spelled(spans: Column) -> Column:
 def scan(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``text_md5`` and the arrays ``base`` (strong spans, ordered) and ``weak``, from one reading of each text.
 
-    Weak candidates are looked for only in texts that have an access identifier; elsewhere nothing could complete them.
+    Secrets are looked for only in texts that have an access identifier or an endpoint; elsewhere nothing could complete them.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     strong = docs.select("doc_id", text.alias("text")).withColumns({
         "assign": found(F.col("text"), ASSIGN, "assign", 2, ASSIGNED_AT_LEAST, (":", "=")),
         "access": found(F.col("text"), ACCESS, "access", holds=("AKIA",)),
         "hex": found(F.col("text"), HEX, "hex"),
+        "endpoint": found(F.col("text"), ENDPOINT, "endpoint", holds=(".amazonaws.com",)),
     })
     none = F.array().cast("array<struct<s:int,e:int,k:int>>")
-    weak = F.concat(found(F.col("text"), SECRET, "secret"), found(F.col("text"), ENDPOINT, "endpoint"))
+    completed = (F.size("access") > 0) | (F.size("endpoint") > 0)
     by_start = lambda a: F.transform(
         F.array_sort(F.transform(a, lambda x: F.struct(x["s"], x["k"], x["e"]))), lambda x: F.struct(x["s"], x["e"], x["k"]))
     return strong.select(
         "doc_id", F.md5(F.col("text").cast("binary")).alias("text_md5"),
         *[F.size(c).cast("long").alias(f"n_{c}") for c in ("assign", "access", "hex")],
         by_start(F.concat("assign", "access", "hex")).alias("base"),
-        F.when(F.size("access") > 0, weak).otherwise(none).alias("weak"),
+        F.when(completed, F.concat(found(F.col("text"), SECRET, "secret"), "endpoint")).otherwise(none).alias("weak"),
     )
 
 
 def link(scanned: DataFrame, scope: int = SCOPE) -> DataFrame:
-    """``doc_id, text_md5, linked``: weak candidates that lie within ``scope`` of an access identifier of the same text.
+    """``doc_id, text_md5, linked``: weak candidates that lie within ``scope`` of a part of another kind of the same text.
 
-    The interval join: parts are ordered by position within a text, and each candidate meets the nearest identifier that ends
-    before it and the nearest that starts after it.
+    The interval join: parts are ordered by position within a text, and each candidate meets the nearest identifier on either side
+    and the nearest candidate of the other kind that ends before it or starts after it. Spans of a kind are disjoint, so only the
+    nearest one of a kind can overlap a candidate; it comes with the one beyond it, which then is the nearest.
     """
     parts = scanned.filter(F.size("weak") > 0).select(
         "doc_id", "text_md5",
         F.explode(F.concat(F.filter("base", lambda x: x["k"] == KINDS.index("access")), "weak")).alias("part"),
     ).select("doc_id", "text_md5", "part.*").distinct()
-    # Both windows run from their first row on; a frame that ends at the last row would be read again for every row.
-    text, up_to = W.partitionBy("doc_id", "text_md5"), (W.unboundedPreceding, 0)
-    access = F.col("k") == KINDS.index("access")
+    # All windows run from their first row on; a frame that ends at the last row would be read again for every row.
+    text, first = W.partitionBy("doc_id", "text_md5"), W.unboundedPreceding
+    onward, backward, by_end = text.orderBy("s", "k"), text.orderBy(F.desc("s"), F.desc("k")), text.orderBy(F.desc("e"), F.desc("k"))
+    is_ = lambda kind: F.col("k") == KINDS.index(kind)
+    last = lambda kind, value, order: F.last(F.when(is_(kind), value), True).over(order.rowsBetween(first, -1))
     near = parts.withColumns({
-        "ended": F.last(F.when(access, F.col("e")), True).over(text.orderBy("s", "k").rowsBetween(*up_to)),
-        "starts": F.last(F.when(access, F.col("s")), True).over(text.orderBy(F.desc("s"), F.desc("k")).rowsBetween(*up_to)),
+        "ended": last("access", F.col("e"), onward),
+        "starts": last("access", F.col("s"), backward),
+        "e_before": F.when(is_("secret"), last("secret", F.col("e"), onward)).when(is_("endpoint"), last("endpoint", F.col("e"), onward)),
+        "s_after": F.when(is_("secret"), last("secret", F.col("s"), by_end)).when(is_("endpoint"), last("endpoint", F.col("s"), by_end)),
     })
-    linked = near.filter(~access & ((F.col("s") - F.col("ended") <= scope) | (F.col("starts") - F.col("e") <= scope)))
+    either = lambda value, order: F.when(is_("secret"), last("endpoint", value, order)).when(is_("endpoint"), last("secret", value, order))
+    near = near.withColumns({
+        "before": either(F.struct("e", "e_before"), onward), "after": either(F.struct("s", "s_after"), by_end),
+    })
+    ended = F.when(F.col("before.e") <= F.col("s"), F.col("before.e")).otherwise(F.col("before.e_before"))
+    starts = F.when(F.col("after.s") >= F.col("e"), F.col("after.s")).otherwise(F.col("after.s_after"))
+    linked = near.filter(~is_("access") & (
+        (F.col("s") - F.col("ended") <= scope) | (F.col("starts") - F.col("e") <= scope) | (F.col("s") - ended <= scope) | (starts - F.col("e") <= scope)
+    ))
     return linked.groupBy("doc_id", "text_md5").agg(F.collect_list(F.struct("s", "k", "e")).alias("linked"))
 
 
