@@ -26,19 +26,22 @@ ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 ASSIGNED_AT_LEAST = 6
 #: Weak candidates: a bare token of 40 characters as cloud secrets have, also right after the ``=`` of an assignment, and the
-#: address of a service.
+#: address of a service, whose host may be of any length and in letters of either case.
 SECRET = r"(?<![A-Za-z0-9+/])(?=[A-Za-z0-9+/]*[0-9])(?=[A-Za-z0-9+/]*[a-z])(?=[A-Za-z0-9+/]*[A-Z])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=])"
-ENDPOINT = r"(?<![A-Za-z0-9.-])(?:https?://)?[a-z0-9.-]{1,200}\.amazonaws\.com(?:/[A-Za-z0-9._/-]*)?"
+ENDPOINT = r"(?<![A-Za-z0-9.-])(?i:(?:https?://)?[a-z0-9.-]+\.amazonaws\.com)(?:/[A-Za-z0-9._/-]*)?"
 #: Kinds in the order in which spans that start together are listed.
 KINDS = ("assign", "access", "hex", "secret", "endpoint")
 #: Code points between two parts of one credential, at most.
 SCOPE = 300
 
 
-def found(text: Column, pattern: str, kind: str, group: int = 0, at_least: int = 0, holds: tuple[str, ...] = ()) -> Column:
+def found(
+    text: Column, pattern: str, kind: str, group: int = 0, at_least: int = 0, holds: tuple[str, ...] = (), fold: bool = False,
+) -> Column:
     """Array of ``(start, end, kind)``, from the pieces between matches and the matches themselves.
 
-    ``holds``: every match has one of these strings, so that texts without any are done by a plain search.
+    ``holds``: every match has one of these strings, so that texts without any are done by a plain search;
+    with ``fold``, in letters of either case.
     """
     k = F.lit(KINDS.index(kind))
     regex = F.lit(pattern)
@@ -62,7 +65,7 @@ def found(text: Column, pattern: str, kind: str, group: int = 0, at_least: int =
     none = F.array().cast("array<struct<s:int,e:int,k:int>>")
     can = F.lit(not holds)
     for part in holds:
-        can = can | F.contains(text, F.lit(part))
+        can = can | F.contains(F.lower(text) if fold else text, F.lit(part))
     return F.when(F.coalesce(can & text.rlike(pattern), F.lit(False)), ends).otherwise(none)
 
 
@@ -83,7 +86,7 @@ def scan(docs: DataFrame) -> DataFrame:
         "assign": found(F.col("text"), ASSIGN, "assign", 2, ASSIGNED_AT_LEAST, (":", "=")),
         "access": found(F.col("text"), ACCESS, "access", holds=("AKIA",)),
         "hex": found(F.col("text"), HEX, "hex"),
-        "endpoint": found(F.col("text"), ENDPOINT, "endpoint", holds=(".amazonaws.com",)),
+        "endpoint": found(F.col("text"), ENDPOINT, "endpoint", holds=(".amazonaws.com",), fold=True),
     })
     none = F.array().cast("array<struct<s:int,e:int,k:int>>")
     completed = (F.size("access") > 0) | (F.size("endpoint") > 0)
