@@ -362,8 +362,21 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
 
 
-def similar(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(``digest, node, copies``: classes of equal sets by their smallest document; ``node, component`` of linked ones)."""
+def several_texts(sets: DataFrame) -> DataFrame | None:
+    """``doc_id, digest, n_shingles`` of ids that repeat with different texts, each text once; None where no id does."""
+    of = F.xxhash64("digest", "n_shingles")
+    ids = sets.filter("doc_id is not null").groupBy("doc_id").agg(F.min(of).alias("low"), F.max(of).alias("high"))
+    ids = stage(ids.filter("low < high").select("doc_id"), "several-texts")
+    if ids.isEmpty():
+        return None
+    return stage(sets.select("doc_id", "digest", "n_shingles").join(ids, "doc_id", "left_semi").distinct(), "their-texts")
+
+
+def similar(sets: DataFrame, repeated: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(``digest, node, copies``: classes of equal sets by their smallest document; ``node, component`` of linked ones).
+
+    Ids that repeat with different texts (``repeated``) are nodes too, linked to the classes of all their texts.
+    """
     classes = stage(
         sets.filter("n_shingles > 0 and doc_id is not null").groupBy("digest").agg(
             F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.count("*").alias("copies"),
@@ -426,7 +439,10 @@ def similar(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     rest = rest.filter(long_enough).filter(placed).filter(enough + "(na + nb)")
     rest = stage(rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs").join(
         tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    links = found.unionByName(verified(rest, listed))
+    links = found.unionByName(verified(rest, listed)).select("a", "b")
+    if repeated is not None:
+        of_id = repeated.filter("n_shingles > 0").join(classes.select("digest", "node"), "digest").filter("node < doc_id")
+        links = links.union(of_id.select(F.col("doc_id").alias("a"), F.col("node").alias("b")).distinct())
 
     # Nodes with one label are one node to the components.
     named = lambda df, c: df.join(labels.select(F.col("node").alias(c), F.col("label").alias(f"l{c}")), c, "left")
@@ -442,15 +458,22 @@ def similar(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id``: one row per document, with the smallest document id reachable by links."""
     sets = stage(shared_shingles(docs), "sets")
-    classes, groups = similar(sets)
+    repeated = several_texts(sets)
+    classes, groups = similar(sets, repeated)
     # A document alone in its class and component is its own component, and needs no join.
     labels = stage(
         classes.select("digest", "node", "copies").join(groups, "node", "left").filter("copies > 1 or component < node")
         .select("digest", F.coalesce("component", "node").alias("component")), "groups")
-    return sets.select("doc_id", "n_shingles", "digest").join(labels, "digest", "left").select(
-        "doc_id", "n_shingles",
-        F.when((F.col("n_shingles") > 0) & F.col("component").isNotNull(), F.least("component", "doc_id")).otherwise(F.col("doc_id"))
-        .alias("component_id"),
+    found = sets.select("doc_id", "n_shingles", "digest").join(labels, "digest", "left")
+    if repeated is not None:  # a row without words has the component of its id's other texts
+        other = repeated.filter("n_shingles = 0").select("doc_id").distinct().join(groups, F.col("doc_id") == F.col("node"))
+        other = stage(other.select(F.col("doc_id").alias("id"), F.col("component").alias("other")), "without-words")
+        bare = found.filter("n_shingles = 0").join(other, F.col("doc_id") == F.col("id"), "left").withColumn("component", F.col("other"))
+        found = found.filter("n_shingles > 0").unionByName(bare.select(found.columns))
+    else:
+        found = found.withColumn("component", F.when(F.col("n_shingles") > 0, F.col("component")))
+    return found.select(
+        "doc_id", "n_shingles", F.when(F.col("component").isNotNull(), F.least("component", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
     )
 
 

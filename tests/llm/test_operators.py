@@ -91,6 +91,16 @@ def test_one_of_each_group_stays(odd):
     assert kept == [1, 4, 5, 6, 7, 9, 10, 11, 12]
 
 
+def test_ngram_texts_of_one_id_are_linked(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(5, a), (2, b), (5, b), (9, a + " more"), (7, ""), (7, c), (1, c), (8, None), (8, "d"), (6, "e f"), (6, "g h"), (3, "e f"), (4, "g h")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r["doc_id"], r["component_id"]) for r in ngram_join.near_duplicates(docs).collect()]
+    want = {5: 2, 2: 2, 9: 2, 7: 1, 1: 1, 8: 8, 6: 3, 3: 3, 4: 3}
+    assert sorted(got) == sorted((i, want[i]) for i, _ in rows)
+    assert sorted(r["doc_id"] for r in ngram_join.one_of_each(docs).collect()) == [1, 2, 3, 8]
+
+
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(0, 40)] + [(100, 101)], "a long, b long")
     got = {r["node"]: r["component"] for r in ngram_join.components(links).collect()}
