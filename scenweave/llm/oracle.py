@@ -123,4 +123,24 @@ SELECT l.doc_id, coalesce(n, 0) AS n_shingles, least(l.doc_id, coalesce(r.b, l.d
 FROM lists l LEFT JOIN sizes s ON s.doc_id = l.doc_id LEFT JOIN least_ r ON r.a = l.doc_id
 """
 
-SQL: dict[str, str] = {"op1_warc_archive": OP1, "op2_secret_links": OP2, "op3_source_mix": OP3, "op7_ngram_components": OP7}
+OP12 = """
+WITH moved AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256::DOUBLE * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+v AS (SELECT * FROM moved WHERE label IS NOT NULL),
+scored AS (
+  SELECT a.vec_id AS anchor_id, a.label AS anchor_label, b.vec_id, b.label, list_dot_product(a.q, b.q)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score, anchor_label FROM scored WHERE label = anchor_label
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.positive_id, (row_number() OVER w)::INTEGER AS rank, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND s.label <> p.anchor_label
+  AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id)
+QUALIFY row_number() OVER w <= 10
+"""
+
+SQL: dict[str, str] = {"op1_warc_archive": OP1, "op2_secret_links": OP2, "op3_source_mix": OP3, "op7_ngram_components": OP7, "op12_hard_negatives": OP12}

@@ -7,13 +7,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    language_id, mixing, ngram_join, packing, permutation_index, quality_classifier, quality_rules, secrets, sharding, warc,
+    hard_negatives, language_id, mixing, ngram_join, packing, periodic_runs, permutation_index, quality_classifier, quality_rules, secrets,
+    sharding, url_filter, warc,
 )
 from .common import table
 
 TOKENIZER = "word_bpe_49k.json"
 SHARDS = 8
 NEIGHBOURS, EVERY = 20, 20
+ANCHORS, POSITIVES, NEGATIVES = 100, 5, 10
 
 
 def op1_warc_archive(spark: SparkSession, folder: str) -> DataFrame:
@@ -66,9 +68,28 @@ def op10_preference_scores(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of all documents, a tenth of which repeat one period from a word on."""
+    docs = table(spark, folder, "documents").select("doc_id", periodic_runs.with_period(F.col("text"), F.col("doc_id")).alias("text"))
+    return periodic_runs.digests(periodic_runs.find_runs(docs))
+
+
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, a seventh of the labels moved on by one."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, folder, "embeddings").withColumn("label", moved)
+    return hard_negatives.mine(vectors, ANCHORS, POSITIVES, NEGATIVES)
+
+
+def op13_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdict on every page's address."""
+    return url_filter.judge(table(spark, folder, "pages"))
+
+
 QUERIES = {
     f.__name__: f for f in (
         op1_warc_archive, op2_secret_links, op3_source_mix, op4_page_languages, op5_permutation_index, op6_divergence_rules,
-        op7_ngram_components, op8_best_fit_packing, op9_bounded_ring, op10_preference_scores,
+        op7_ngram_components, op8_best_fit_packing, op9_bounded_ring, op10_preference_scores, op11_periodic_runs,
+        op12_hard_negatives, op13_url_filter,
     )
 }
