@@ -6,15 +6,24 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: Suffixes of files that hold a table.
+TABLE_SUFFIX = (".csv", ".parquet", ".orc", ".json", ".jsonl")
+
+
 def decode_uri(c: Column) -> Column:
     """Plain path of a percent-encoded one; a plus sign is no blank in a path."""
     return F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
 
 
+def one_spelling(uri: Column) -> Column:
+    """``file:/x`` for ``file:///x``: Spark gives either, by how a file was listed."""
+    return F.regexp_replace(uri, r"^([A-Za-z][A-Za-z0-9+.-]*):///", "$1:/")
+
+
 def rel_path(path: Column, root: str) -> Column:
-    """Path below ``root``, which is given decoded and without its last slash."""
-    start = F.instr(path, root.rstrip("/") + "/")
-    return F.when(start > 0, F.substring(path, start + F.lit(len(root.rstrip("/")) + 1), F.length(path)))
+    """Path below ``root``, which is given whole and decoded; NULL for a path elsewhere."""
+    start = root.rstrip("/") + "/"
+    return F.when(path.startswith(start), F.substring(path, F.lit(len(start) + 1), F.length(path)))
 
 
 def file_name(path: Column) -> Column:

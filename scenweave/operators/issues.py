@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import issue_text
@@ -15,7 +13,7 @@ STAGES = {
     "values": 7, "empty": 8, "model": 9, "duplicates": 10, "pivot": 11,
 }
 SCHEMA = (
-    "source_model string, spec_id int, file string, stage string, severity string, "
+    "source_model string, spec_id bigint, file string, stage string, severity string, "
     "key string, unit string, n bigint, message string, block bigint, row bigint"
 )
 COLUMNS = [c.split()[0] for c in SCHEMA.split(", ")]
@@ -40,11 +38,6 @@ def issue(df: DataFrame, *kinds: dict) -> DataFrame:
     return df.select(F.explode(rows).alias("issue")).select("issue.*")
 
 
-def driver_issues(spark: SparkSession, rows: Sequence[dict]) -> DataFrame:
-    """Issues found while planning the scans."""
-    return spark.createDataFrame([tuple(r.get(c) for c in COLUMNS) for r in rows], SCHEMA)
-
-
 def unmapped_issues(misses: DataFrame) -> DataFrame:
     """A heading with the number of (key, unit) pairs, then one line per key.
 
@@ -80,10 +73,10 @@ def render_report(issues: DataFrame) -> DataFrame:
     order = F.coalesce(
         *[F.when(F.col("stage") == s, F.lit(i)) for s, i in STAGES.items()], F.lit(len(STAGES))
     )
-    title = F.struct(F.lit(-1).alias("spec_id"), F.lit(-1).alias("step"), F.lit(-1).cast("bigint").alias("block"),
+    title = F.struct(F.lit(-1).cast("bigint").alias("spec_id"), F.lit(-1).alias("step"), F.lit(-1).cast("bigint").alias("block"),
                      F.lit(-1).cast("bigint").alias("row"), F.concat(F.lit("=== "), "source_model", F.lit(" ===")).alias("line"))
     line = F.struct(
-        F.coalesce("spec_id", F.lit(2**31 - 1)).alias("spec_id"),
+        F.coalesce("spec_id", F.lit(2**63 - 1)).alias("spec_id"),
         order.alias("step"),
         F.coalesce("block", F.lit(0)).alias("block"),
         F.coalesce("row", F.lit(0)).alias("row"),

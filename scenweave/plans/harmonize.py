@@ -6,19 +6,18 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..fixed import COLUMN_ALIASES, IAMC_KEYS, ORDER
 from ..operators.columns import union_sources
 from ..operators.duplicates import CHUNK_BITS, KEYS, duplicate_counters, resolve_duplicates
-from ..operators.issues import driver_issues, issue, unmapped_issues
+from ..operators.issues import issue, unmapped_issues
 from ..operators.lookup import Dictionary, attach, map_model, measure_all
 from ..operators.reshape import assert_unique, distinct_years, pivot_years
 from ..operators.unmapped import unmapped
-from ..sources.specs import load_specs, spec_rows
-from ..sources.tables import ReadStyle, located_specs, plan_scans, scan_group
+from ..sources.specs import load_specs, number
+from ..sources.tables import ReadStyle, all_rows, locate_specs, plan_scans, scan_all
 from .staging import stage
 
 TARGETS = {
@@ -168,8 +167,8 @@ def duplicate_issues(counters: DataFrame) -> DataFrame:
     )
 
 
-def source_issues(looked_up: DataFrame, specs: DataFrame, skipped: Sequence[int]) -> DataFrame:
-    """Per source: cells that did not convert, no rows left, model not in the dictionary."""
+def source_issues(looked_up: DataFrame, specs: DataFrame) -> DataFrame:
+    """Per source that was read: cells that did not convert, no rows left, model not in the dictionary."""
     good = ~F.col("bad_row")
     kept = good & F.col("_variable").isNotNull() & F.col("_region").isNotNull() & F.col("_scenario").isNotNull()
     counts = looked_up.groupBy("spec_id").agg(
@@ -177,8 +176,8 @@ def source_issues(looked_up: DataFrame, specs: DataFrame, skipped: Sequence[int]
         F.count_if("bad_row").alias("bad_row"),
         F.count_if(good & F.col("bad_value")).alias("bad_value"),
         F.count_if(good & F.col("bad_year")).alias("bad_year"),
+        F.count_if(good & F.col("bad_text")).alias("bad_text"),
     )
-    table = specs.filter(~F.col("spec_id").isin(*skipped)) if skipped else specs
     survives = F.coalesce("kept", F.lit(0)) > 0
 
     def kind(place: int, count: str, text: str, severity: str) -> dict:
@@ -187,10 +186,11 @@ def source_issues(looked_up: DataFrame, specs: DataFrame, skipped: Sequence[int]
                 "n": F.col(count), "row": place}
 
     return issue(
-        table.join(counts, "spec_id", "left"),
+        specs.join(counts, "spec_id", "left"),
         kind(0, "bad_row", " rows have more fields than the header and are left out", "error"),
         kind(1, "bad_value", " values are no numbers and count as missing", "warning"),
         kind(2, "bad_year", " rows have no whole-number year and are left out", "error"),
+        kind(3, "bad_text", " rows hold characters that are not written in the encoding of the file", "error"),
         {"when": ~survives, "stage": "empty", "severity": "info", "message": F.concat(F.lit("no valid data in "), "file")},
         {"when": survives & ~F.col("model_known"), "stage": "model", "severity": "warning",
          "message": F.concat(F.lit("source model "), "source_model", F.lit(" is not in the dictionary"))},
@@ -199,13 +199,17 @@ def source_issues(looked_up: DataFrame, specs: DataFrame, skipped: Sequence[int]
 
 @dataclass(frozen=True)
 class Run:
-    """Result of a run on files. ``harmonized`` is None if no source could be read."""
+    """Result of a run on files. ``harmonized`` is None if no source could be read.
+
+    ``planned`` are the issues found before any row was read, ``specs`` the
+    sources that were read and ``absent`` the keys (``spec_id, label``) that a
+    source has no column for.
+    """
 
     harmonized: Harmonized | None
     planned: DataFrame
     specs: DataFrame
-    absent: tuple[tuple[int, str], ...]
-    skipped: tuple[int, ...]
+    absent: DataFrame
 
     @property
     def long(self) -> DataFrame | None:
@@ -217,12 +221,10 @@ class Run:
         result = self.harmonized
         if result is None:
             return self.planned
-        misses = result.misses.join(F.broadcast(self.specs.select("spec_id", "file")), "spec_id")
-        for spec_id, label in self.absent:
-            misses = misses.filter(~((F.col("spec_id") == spec_id) & (F.col("label") == label)))
+        misses = result.misses.join(self.specs.select("spec_id", "file"), "spec_id").join(self.absent, ["spec_id", "label"], "left_anti")
         return union_sources([
             self.planned,
-            source_issues(result.looked_up, self.specs, self.skipped),
+            source_issues(result.looked_up, self.specs),
             unmapped_issues(misses),
             duplicate_issues(result.counters),
         ] + ([pivot_issues(result.long)] if result.can_collide else []))
@@ -244,52 +246,26 @@ def harmonize(
     """Harmonise the tables that an overview lists below ``root``.
 
     ``dictionaries`` are loaded ones. Planning reads the file list and the
-    headers; the rows themselves are read when the result is written.
+    headers, and writes what it found about each source; the rows themselves
+    are read when the result is written. The overview may have any length:
+    it stays a table, of which the driver sees the distinct layouts.
     """
-    ordered = [
-        {**s, "spec_id": i} for i, s in enumerate(spec_rows(specs if "seq" in specs.columns else load_specs(specs)))
-    ]
+    numbered = number(specs if "seq" in specs.columns else load_specs(specs), ["seq"], "spec_id", "specs")
     measured = measure_all(dictionaries)
-    models = spark.createDataFrame(
-        [(s["spec_id"], s["Source model"], s["File name"]) for s in ordered],
-        "spec_id int, source_model string, file string",
-    )
     # The model is a property of the source: translated once per source, not per row.
-    known = {
-        r["spec_id"]: r
-        for r in map_model(models, measured["models"]).select("spec_id", "model", "model_known").collect()
-    }
-    located = [
-        {**s, "model": known[s["spec_id"]]["model"]} for s in located_specs(spark, root, ordered)
-    ]
-    plan = plan_scans(located, aliases, strict_names)
-    scans, read = [], set()
-    for layout, members in plan.groups.items():
-        try:
-            scans.append(
-                scan_group(spark, layout, members, {"source_model": "Source model", "model": "model"}, style)
-            )
-            read.update(s["spec_id"] for s in members)
-        except AnalysisException as error:
-            plan.issues += [
-                {"source_model": s["Source model"], "spec_id": s["spec_id"], "file": s["File name"],
-                 "stage": "read", "severity": "error", "message": f"cannot read {s['File name']}: {error.getCondition()}"}
-                for s in members
-            ]
-    titles = [
-        {"source_model": s["Source model"], "spec_id": s["spec_id"], "file": s["File name"],
-         "stage": "source", "severity": "info"}
-        for s in ordered
-    ]
-    table = spark.createDataFrame(
-        [(s["spec_id"], s["Source model"], s["File name"], known[s["spec_id"]]["model_known"]) for s in ordered],
-        "spec_id int, source_model string, file string, model_known boolean",
-    )
+    known = map_model(numbered, measured["models"], "Source model")
+    plan = plan_scans(locate_specs(spark, root, known), aliases, strict_names)
+    scans, read, refused = scan_all(spark, plan, {"source_model": "Source model", "model": "model"}, style)
+    named = plan.sources.withColumnsRenamed({"Source model": "source_model", "File name": "file"})
+    titles = issue(
+        named.select("spec_id", "source_model", "file").distinct(), {"stage": "source", "severity": "info"})
+    used = named.filter(F.col("layout").isin(read)) if read else named.limit(0)
+    none = lambda role, label: F.when(~F.array_contains("found", role), F.lit(label))
+    absent = used.select("spec_id", F.explode(F.array_compact(F.array(none("region", "Regions"), none("scenario", "Scenarios")))).alias("label"))
     result = None
     if scans:
         result = harmonize_rows(
-            union_sources(scans), measured, ORDER, ("source_model", "spec_id"),
-            keep_original_unit, null_policy, chunk_bits, stage_rows,
-        )
-    skipped = sorted({s["spec_id"] for s in ordered} - read)
-    return Run(result, driver_issues(spark, titles + plan.issues), table, tuple(plan.absent), tuple(skipped))
+            all_rows(scans), measured, ORDER, ("source_model", "spec_id"), keep_original_unit, null_policy, chunk_bits, stage_rows)
+    return Run(
+        result, union_sources([titles, plan.issues, refused]), used.select("spec_id", "source_model", "file", "model_known").distinct(),
+        absent.distinct())

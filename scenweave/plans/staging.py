@@ -2,22 +2,31 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def stage_folder(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``."""
+    """The shared folder the cluster names in ``spark.checkpoint.dir``; where none is set, one of its own in local mode only."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="stage-")
+        spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A folder of its own in the shared one."""
+    return f"{stage_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a table once and go on from it, so that its sources are read once."""
     spark = df.sparkSession
-    path = f"{stage_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = new_folder(spark, name)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

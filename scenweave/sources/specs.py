@@ -8,15 +8,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..fixed import LEGACY_SPEC_COLUMNS, SPEC_COLUMNS
-
-# The overview is planned on the driver; far above any real one.
-MAX_SPECS = 200_000
+from ..plans.staging import stage
 
 
 def load_specs(df: DataFrame, legacy: bool = False) -> DataFrame:
-    """Specification table with blanks for missing cells and its row order in ``seq``."""
-    wanted = SPEC_COLUMNS + (LEGACY_SPEC_COLUMNS if legacy else [])
-    required = [c for c in wanted if c not in ("Sheet name", "Unit")]
+    """Specification table with blanks for missing cells and its row order in ``seq``.
+
+    A column ``Encoding`` (``ISO-8859-1``) may say how a delimited file is
+    written, UTF-8 otherwise.
+    """
+    wanted = [*SPEC_COLUMNS, "Encoding"] + (LEGACY_SPEC_COLUMNS if legacy else [])
+    required = [c for c in wanted if c not in ("Sheet name", "Unit", "Encoding")]
     absent = [c for c in required if c not in df.columns]
     if absent:
         raise KeyError(f"overview has no column {', '.join(map(repr, absent))}")
@@ -28,12 +30,9 @@ def load_specs(df: DataFrame, legacy: bool = False) -> DataFrame:
     return filled.withColumn("seq", F.monotonically_increasing_id())
 
 
-def spec_rows(specs: DataFrame) -> list[dict]:
-    """The overview on the driver, in its own order."""
-    rows = [r.asDict() for r in specs.limit(MAX_SPECS + 1).collect()]
-    if len(rows) > MAX_SPECS:
-        raise ValueError(f"more than {MAX_SPECS} source tables in one run")
-    return sorted(rows, key=lambda r: r["seq"])
+def number(df: DataFrame, order: Sequence[str], into: str, name: str) -> DataFrame:
+    """Rows with a number that grows with ``order``, written once so that it stays."""
+    return stage(df.orderBy(*order).withColumn(into, F.monotonically_increasing_id()), name)
 
 
 def spec_summary(

@@ -1,29 +1,37 @@
 """Scans of result tables.
 
-Files that are alike in format, header and column roles are read by one scan.
-The plan then grows with the number of layouts, not of files, and no file is
-read under the header of another: Spark applies one header to all files of a
-scan by position.
+The overview stays a table: files are found by a join, and what each of them
+says about its columns is worked out by expressions. Only distinct layouts
+reach the driver. Files that are alike in format, separator, width and column
+roles are read by one scan and joined to their specification, so the plan grows
+with the number of layouts, not of files, and no file is read under the
+header of another: Spark applies one header to all files of a scan by position.
 """
 
 from __future__ import annotations
 
-import re
-from collections import defaultdict
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
-from urllib.parse import unquote
+from dataclasses import dataclass
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..fixed import COLUMN_ALIASES
-from ..functions.text import as_text, nullify, parse_rule
-from ..operators.columns import alias_choice, type_measures, variable_text
-from .files import list_files, locate, plain_root, read_headers
+from ..functions.paths import one_spelling
+from ..functions.text import as_text, nullify, py_strip
+from ..operators.columns import type_measures, union_sources, variable_text
+from ..operators.issues import SCHEMA, issue
+from ..operators.lookup import BROADCAST_ROWS, salted_join
+from ..plans.staging import stage
+from .files import TABLE_KEYS, load_path, located_files, read_headers
 
 ROLES = ("scenario", "region", "year", "value", "unit")
+#: Bits of a row's place that hold the place of its block in its file; the part of a table of several files is above.
+PART_BITS = 42
 
 
 @dataclass(frozen=True)
@@ -32,13 +40,14 @@ class Layout:
 
     ``roles`` gives the column position of scenario, region and the others, -1
     where the file has no such column; ``parts`` the positions of the variable
-    columns.
+    columns. ``fields`` are names and types where columns are found by name.
     """
 
     format: str
     separator: str | None
-    names: tuple[str, ...]
-    types: tuple[str, ...]
+    encoding: str | None
+    width: int
+    fields: tuple[tuple[str, str], ...]
     roles: tuple[tuple[str, int], ...]
     parts: tuple[int, ...]
 
@@ -55,157 +64,201 @@ class ReadStyle:
     keep_tokens: tuple[str, ...] = ()
 
 
-@dataclass
+@dataclass(frozen=True)
 class ScanPlan:
-    groups: dict[Layout, list[dict]] = field(default_factory=dict)
-    issues: list[dict] = field(default_factory=list)
-    # (spec_id, label) of keys that a file has no column for.
-    absent: list[tuple[int, str]] = field(default_factory=list)
+    """Sources as a table: one row per specification and file, with ``layout`` (NULL if it is not read) and
+    the issues found. ``layouts`` tells what the layouts are."""
+
+    sources: DataFrame
+    layouts: dict[str, Layout]
+    issues: DataFrame
 
 
-def located_specs(spark: SparkSession, root: str, specs: Sequence[dict]) -> list[dict]:
-    """Specifications with the file they name and its header, if there is one.
+def locate_specs(spark: SparkSession, root: str, specs: DataFrame) -> DataFrame:
+    """Specifications (``spec_id`` and the columns of the overview) with the files they name and their columns' names.
 
-    The listing, the match and the headers are one Spark job over the files;
-    what returns is one row per specification.
+    A table of several parts gives one row per part, numbered in ``part``; a
+    specification without file stays, with a NULL ``file_path``.
     """
-    if not specs:
-        return []
-    wanted = spark.createDataFrame(
-        [(s["spec_id"], s["File location"], s["File name"], s["Sheet name"], s["Separator"]) for s in specs],
-        "spec_id int, location string, name string, sheet string, sep string",
-    ).withColumn("location", F.regexp_replace(F.replace("location", F.lit("\\"), F.lit("/")), "^/+|/+$", ""))
-    files = locate(list_files(spark, root), plain_root(root).rsplit("/", 1)[-1]).filter(
-        F.col("format").isNotNull() & (F.col("in_book") | (F.col("suffix") == ".csv"))
+    place = F.regexp_replace(F.replace(F.col("File location"), F.lit("\\"), F.lit("/")), "^/+|/+$", "")
+    wanted = specs.select(
+        "spec_id", place.alias("location"), F.col("File name").alias("name"), F.col("Sheet name").alias("sheet"),
+        F.col("Separator").alias("sep"), F.nullif(F.upper("Encoding"), F.lit("")).alias("encoding"),
     )
+    files = stage(located_files(spark, root).filter(F.col("format").isNotNull()), "files")
     sheets = files.groupBy("file_location", "file_name").agg(F.min("sheet_name").alias("first_sheet"))
-    found = (
+    named = (
         wanted.join(sheets, (F.col("location") == F.col("file_location")) & (F.col("name") == F.col("file_name")))
-        .select("spec_id", "location", "name", "sep",
-                F.when((F.col("sheet") == "") | F.lower("name").endswith(".csv"), F.col("first_sheet"))
-                .otherwise(F.col("sheet")).alias("sheet"))
-        .join(files.select("file_path", "file_location", "file_name", "sheet_name", "format"),
-              (F.col("location") == F.col("file_location")) & (F.col("name") == F.col("file_name"))
-              & (F.col("sheet") == F.col("sheet_name")))
-        .select("spec_id", "file_path", "format",
-                F.when(F.col("format") == "csv", F.when(F.col("sep") == "", ",").otherwise(F.col("sep"))).alias("separator"))
+        .select("spec_id", "file_location", "file_name", "sep", "encoding",
+                F.when((F.col("sheet") == "") | ~F.lower("name").rlike(r"\.xlsx?$"), F.col("first_sheet"))
+                .otherwise(F.col("sheet")).alias("sheet_name"))
     )
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    inputs = found.select("file_path", "format", "separator").distinct().repartition(tasks, "file_path")
-    headers = read_headers(inputs).withColumnRenamed("separator", "_sep")
-    rows = (
-        found.join(headers, (found["file_path"] == headers["file_path"]) & found["separator"].eqNullSafe(F.col("_sep")), "left")
-        .select(found["spec_id"], found["file_path"], "format", "separator", "names", "types", "failure")
-        .collect()
-    )
-    by_spec = {r["spec_id"]: r.asDict() for r in rows}
-    return [{**s, **by_spec.get(s["spec_id"], {"file_path": None})} for s in specs]
+    located = named.join(files.select("file_path", "length", "format", *TABLE_KEYS, "in_parts"), TABLE_KEYS)
+    by_name = F.col("format").isin("parquet", "orc") & F.col("in_parts")
+    found = stage(
+        located.withColumns({
+            "part": F.row_number().over(W.partitionBy("spec_id").orderBy("file_path")) - 1,
+            # Parts that a reader finds by name are alike: the first one tells their schema.
+            "told_by": F.when(by_name, F.min("file_path").over(W.partitionBy("spec_id"))).otherwise(F.col("file_path")),
+        }).select(
+            "spec_id", "file_path", "length", "format", "in_parts", "part", "told_by",
+            F.when(F.col("format") == "csv", F.when(F.col("sep") == "", ",").otherwise(F.col("sep"))).alias("separator"),
+            F.when(F.col("format") == "csv", F.col("encoding")).alias("encoding"),
+        ), "found")
+    headers = read_headers(found.select(F.col("told_by").alias("file_path"), "format", "separator", "encoding", "length"))
+    on = (found["told_by"] == headers["file_path"]) & found["separator"].eqNullSafe(headers["separator"]) & (
+        found["encoding"].eqNullSafe(headers["encoding"]))
+    described = found.join(headers, on, "left").select(found["*"], "names", "types", "failure")
+    # Records of a JSON table may lack keys in one part and have them in another.
+    of_all = (F.col("format") == "json") & F.col("in_parts")
+    first = described.filter(of_all).select("spec_id", "part", F.posexplode("names").alias("at", "name")).groupBy("spec_id", "name").agg(
+        F.min(F.struct("part", "at")).alias("first"))
+    all_names = first.groupBy("spec_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("first", "name"))), lambda x: x["name"]).alias("all_names"))
+    whole = described.join(all_names, "spec_id", "left").withColumns({
+        "names": F.coalesce("all_names", "names"),
+        "types": F.coalesce(F.transform("all_names", lambda _: F.lit("json")), "types"),
+        "failure": F.when(F.col("all_names").isNull(), F.col("failure")),
+    })
+    told = whole.drop("all_names", "in_parts", "length", "told_by")
+    return stage(specs.drop("Separator", "Encoding").join(told, "spec_id", "left"), "sources")
+
+
+def visible_names(legacy: bool = False) -> Column:
+    """Headers that roles and rules may name; NULL in the place of an index column."""
+    if legacy:
+        # One legacy delivery carries a row index in front.
+        has_index = F.col("File name").contains("250424")
+        return F.transform("names", lambda n, i: F.when(~(has_index & (i == 0)), py_strip(n)))
+    is_sheet = F.lower("File name").endswith(".xlsx")
+    return F.transform("names", lambda n: F.when(~(is_sheet & (n == "Unnamed: 0")), n))
 
 
-def plan_scans(
-    located: Sequence[dict],
-    aliases: Mapping[str, Sequence[str]] = COLUMN_ALIASES,
-    strict_names: bool = False,
-) -> ScanPlan:
-    """Group sources by layout; set those apart that cannot be read."""
-    plan = ScanPlan()
-    groups = defaultdict(list)
-    for spec in located:
-        names = visible_names(spec)
-
-        def note(stage, message, severity="error"):
-            plan.issues.append({
-                "source_model": spec["Source model"], "spec_id": spec["spec_id"], "file": spec["File name"],
-                "stage": stage, "severity": severity, "message": message,
-            })
-
-        problem = unreadable(spec)
-        if problem:
-            note("read", problem)
-            continue
-        chosen = alias_choice(names, aliases)
-        after = {
-            n: i for i, n in enumerate(names)
-            if n is not None and not (strict_names and i in chosen.values())
-        }
-        after |= {c: i for c, i in chosen.items() if strict_names or c not in after}
-        parts = parse_rule(spec["Variable column"])
-        missing = [p for p in parts if p not in after]
-        if missing:
-            note("columns", f"no column {', '.join(map(repr, missing))}, source skipped")
-            continue
-        note("columns", "columns: " + ", ".join(r for r in ROLES if r in chosen), "found")
-        doubled = [c for c, i in chosen.items() if c in names and names.index(c) != i]
-        if doubled:
-            note("columns", f"{', '.join(doubled)} given twice, the first spelling is used", "warning")
-        needed = [c for c in ("unit", "value", "year") if c not in chosen]
-        for column, label in (("region", "Regions"), ("scenario", "Scenarios")):
-            if column not in chosen:
-                note("columns", f"no column for {column}", "warning")
-                plan.absent.append((spec["spec_id"], label))
-        if needed:
-            note("columns", f"no column for {', '.join(needed)}, source skipped")
-            continue
-        layout = Layout(
-            spec["format"], spec["separator"], tuple(spec["names"]), tuple(spec["types"]),
-            tuple((r, chosen.get(r, -1)) for r in ROLES), tuple(after[p] for p in parts),
-        )
-        groups[layout].append(spec)
-    plan.groups = dict(groups)
-    return plan
+def rule_parts(rule: Column) -> Column:
+    """Column names of a variable rule such as ``Variable|Sector|Carrier``."""
+    return F.transform(F.split(rule, r"\|", -1), py_strip)
+
+
+def position(names: Column, name: Column) -> Column:
+    """Place of a name, from 0; NULL where there is none."""
+    return F.nullif(F.array_position(names, name), F.lit(0)).cast("int") - 1
 
 
-def unreadable(spec: dict) -> str | None:
-    """Why a source cannot be read, if so."""
-    name = spec["File name"]
-    if not name.lower().endswith((".csv", ".xlsx")):
-        return f"unknown format, skipped: {name}"
-    if spec["file_path"] is None:
-        return f"cannot read {name}: no such table"
-    if spec.get("failure") or not spec.get("names"):
-        return f"cannot read {name}: {spec.get('failure') or 'no columns'}"
-    return None
+def quoted(names: Column) -> Column:
+    return F.array_join(F.transform(names, lambda n: F.concat(F.lit("'"), n, F.lit("'"))), ", ")
 
 
-def load_path(uri: str) -> str:
-    """Path of one file for a reader, which would take brackets as wildcards."""
-    return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(uri))
+def unreadable() -> Column:
+    """Why a source cannot be read; NULL if it can."""
+    name = F.col("File name")
+    known = F.lower(name).rlike(r"\.(csv|xlsx?|parquet|orc|jsonl?)$")
+    # A workbook that is no folder of tables stays what it is: of no known format.
+    return (
+        F.when(~known | (F.lower(name).endswith(".xls") & F.col("file_path").isNull()), F.concat(F.lit("unknown format, skipped: "), name))
+        .when(F.col("file_path").isNull(), F.concat(F.lit("cannot read "), name, F.lit(": no such table")))
+        .when(F.col("failure").isNotNull() | (F.coalesce(F.size("names"), F.lit(0)) <= 0),
+              F.concat(F.lit("cannot read "), name, F.lit(": "), F.coalesce("failure", F.lit("no columns"))))
+    )
+
+
+def layouts_of(sources: DataFrame, roles: Sequence[str]) -> tuple[DataFrame, dict[str, Layout]]:
+    """Sources with the key of their layout, and the distinct layouts. ``positions`` are those of ``roles``."""
+    by_name = F.col("format") != "csv"
+    described = F.struct(
+        "format", "separator", F.when(~by_name, F.coalesce("encoding", F.lit("UTF-8"))).alias("encoding"), F.size("names").alias("width"),
+        F.when(by_name, F.arrays_zip("names", "types")).alias("fields"), "positions", "parts",
+    )
+    keyed = stage(
+        sources.withColumn("described", described)
+        .withColumn("layout", F.when(F.col("usable"), F.sha2(F.to_json("described"), 256))), "layouts")
+    found = keyed.filter("layout is not null").groupBy("layout").agg(F.any_value("described").alias("d")).select("layout", "d.*").collect()
+    layouts = {
+        r["layout"]: Layout(
+            r["format"], r["separator"], r["encoding"], r["width"], tuple((f["names"], f["types"]) for f in r["fields"] or ()),
+            tuple(zip(roles, (-1 if p is None else p for p in r["positions"]), strict=True)), tuple(r["parts"]),
+        )
+        for r in found
+    }
+    return keyed.drop("described", "positions", "parts"), layouts
+
+
+def plan_scans(
+    located: DataFrame, aliases: Mapping[str, Sequence[str]] = COLUMN_ALIASES, strict_names: bool = False
+) -> ScanPlan:
+    """Work out each source's columns; set those apart that cannot be read."""
+    canonical = list(aliases)
+    first = {c: F.coalesce(*[position(F.col("seen"), F.lit(v)) for v in variants]) for c, variants in aliases.items()}
+    df = located.withColumn("seen", visible_names()).withColumn("problem", unreadable())
+    df = df.withColumn("chosen", F.map_from_arrays(F.array(*map(F.lit, canonical)), F.array(*first.values())))
+
+    def at(name: Column) -> Column:
+        by_header, by_role = position(F.col("seen"), name), F.try_element_at("chosen", name)
+        if strict_names:
+            taken = F.array_contains(F.map_values("chosen"), by_header)
+            return F.coalesce(by_role, F.when(~F.coalesce(taken, F.lit(False)), by_header))
+        return F.coalesce(by_header, by_role)
+
+    role = lambda name: F.try_element_at("chosen", F.lit(name))
+    df = df.withColumn("rule", rule_parts(F.col("Variable column")))
+    df = df.withColumn("parts", F.transform("rule", at))
+    df = df.withColumns({
+        "missing": F.filter("rule", lambda p: at(p).isNull()),
+        "found": F.array_compact(F.array(*[F.when(role(r).isNotNull(), F.lit(r)) for r in ROLES])),
+        "doubled": F.filter(F.array(*map(F.lit, canonical)), lambda c: position(F.col("seen"), c) != F.try_element_at("chosen", c)),
+        "needed": F.array_compact(F.array(*[F.when(role(r).isNull(), F.lit(r)) for r in ("unit", "value", "year")])),
+        "positions": F.array(*[role(r) for r in ROLES]),
+    })
+    fine = F.col("problem").isNull()
+    complete = fine & (F.size("missing") == 0)
+    df = df.withColumn("usable", complete & (F.size("needed") == 0))
+    keyed, layouts = layouts_of(df, ROLES)
+    said = keyed.withColumnsRenamed({"Source model": "source_model", "File name": "file"})
+    issues = issue(
+        said,
+        {"when": ~fine, "stage": "read", "severity": "error", "message": F.col("problem")},
+        {"when": fine & (F.size("missing") > 0), "stage": "columns", "severity": "error",
+         "message": F.concat(F.lit("no column "), quoted(F.col("missing")), F.lit(", source skipped"))},
+        {"when": complete, "stage": "columns", "severity": "found", "message": F.concat(F.lit("columns: "), F.array_join("found", ", "))},
+        {"when": complete & (F.size("doubled") > 0), "stage": "columns", "severity": "warning",
+         "message": F.concat(F.array_join("doubled", ", "), F.lit(" given twice, the first spelling is used"))},
+        *[{"when": complete & ~F.array_contains("found", r), "stage": "columns", "severity": "warning",
+           "message": F.lit(f"no column for {r}")} for r in ("region", "scenario")],
+        {"when": complete & (F.size("needed") > 0), "stage": "columns", "severity": "error",
+         "message": F.concat(F.lit("no column for "), F.array_join("needed", ", "), F.lit(", source skipped"))},
+    ).distinct()
+    return ScanPlan(keyed, layouts, issues)
 
 
 def _open(spark: SparkSession, layout: Layout, paths: Sequence[str], style: ReadStyle) -> tuple[DataFrame, list[Column], Column]:
     """Rows of the files, their columns by position and the overflow test."""
-    never = F.lit(False)
     if layout.format == "csv":
         # One field more than the header shows a row that is too long. The
         # last field is never selected: the reader then fills short rows
         # with NULL instead of treating them as malformed.
-        width = len(layout.names)
-        fields = [f"c{i}" for i in range(width)] + ["over", "pad"]
+        fields = [f"c{i}" for i in range(layout.width)] + ["over", "pad"]
         df = (
             spark.read.schema(T.StructType([T.StructField(n, T.StringType()) for n in fields]))
-            .options(header="true", sep=layout.separator, quote='"', escape='"', encoding="UTF-8",
-                     multiLine=str(style.multi_line).lower(), maxColumns=str(max(20480, width + 2)))
+            .options(header="true", sep=layout.separator, quote='"', escape='"', encoding=layout.encoding,
+                     multiLine=str(style.multi_line).lower(), maxColumns=str(max(20480, layout.width + 2)))
             .csv(list(paths))
         )
-        return df, [F.col(f"c{i}") for i in range(width)], F.col("over").isNotNull()
+        return df, [F.col(f"c{i}") for i in range(layout.width)], F.col("over").isNotNull()
+    names = [n for n, _ in layout.fields]
     if layout.format == "json":
-        fields = T.StructType([T.StructField(n, T.StringType()) for n in layout.names])
-        df = spark.read.schema(fields).json(list(paths))
+        df = spark.read.schema(T.StructType([T.StructField(n, T.StringType()) for n in names])).json(list(paths))
     else:
         df = spark.read.format(layout.format).load(list(paths))
-    return df, [F.col(f"`{n}`") for n in layout.names], never
+    return df, [F.col(f"`{n}`") for n in names], F.lit(False)
 
 
 def scan_group(
-    spark: SparkSession, layout: Layout, specs: Sequence[dict], carry: Mapping[str, str],
-    style: ReadStyle = ReadStyle(),
+    spark: SparkSession, layout: Layout, sources: DataFrame, paths: Sequence[str], carry: Mapping[str, str], style: ReadStyle = ReadStyle(),
 ) -> DataFrame:
     """Rows of all sources of one layout, with canonical columns and input positions.
 
-    ``carry`` maps output columns to entries of the specifications.
+    ``carry`` maps output columns to columns of ``sources``. These are joined
+    to the rows by file: broadcast up to a number of them, spread beyond it.
     """
-    paths = [load_path(u) for u in dict.fromkeys(s["file_path"] for s in specs)]
-    df, cells, overflow = _open(spark, layout, paths, style)
+    df, cells, overflow = _open(spark, layout, [load_path(u) for u in paths], style)
     kinds = [f.dataType for f in df.schema][: len(cells)]
 
     def text(i: int, name: str = "") -> Column:
@@ -225,42 +278,59 @@ def scan_group(
     columns["original_variable"] = variable_text(
         [text(i) for i in layout.parts], style.sep, style.null_text, style.trim
     )
+    used = list(dict.fromkeys([*(i for _, i in layout.roles if i >= 0), *layout.parts]))
     if layout.format == "csv" and not style.blank_rows:
-        used = [i for _, i in layout.roles if i >= 0] + list(layout.parts)
         first = list(dict.fromkeys([*used, *range(len(cells))]))
         df = df.filter(F.coalesce(*[nullify(cells[i]) for i in first], F.lit(None).cast("string")).isNotNull())
-    position = (
+    # Bytes that are no text of the declared encoding arrive as the replacement character.
+    broken = [cells[i].contains("�") for i in used if layout.format == "csv"]
+    place = (
         {"block": F.lit(0).cast("bigint"), "row": F.col("_metadata.row_index")}
         if layout.format == "parquet"
         else {"block": F.col("_metadata.file_block_start"), "row": F.monotonically_increasing_id()}
     )
     rows = df.select(
-        F.col("_metadata.file_path").alias("file_path"),
-        *[c.alias(n) for n, c in position.items()],
+        one_spelling(F.col("_metadata.file_path")).alias("file_path"),
+        *[c.alias(n) for n, c in place.items()],
         *[c.alias(n) for n, c in columns.items()],
         overflow.alias("bad_row"),
+        (F.coalesce(reduce(lambda a, b: a | b, broken), F.lit(False)) if broken else F.lit(False)).alias("bad_text"),
     )
     rows = type_measures(rows)
-    fields = {"spec_id": "int", **{name: "string" for name in carry}}
-    values = [(s["spec_id"], *[s[k] for k in carry.values()]) for s in specs]
-    if len(specs) == 1:
-        return rows.select(
-            *[F.lit(v).cast(t).alias(n) for (n, t), v in zip(fields.items(), values[0])], *rows.columns[1:]
-        )
-    # One row per specification, at most MAX_SPECS of them.
-    attributes = spark.createDataFrame(
-        [(s["file_path"], *v) for s, v in zip(specs, values)],
-        "file_path string, " + ", ".join(f"{n} {t}" for n, t in fields.items()),
-    )
-    return rows.join(F.broadcast(attributes), "file_path").select(*fields, *rows.columns[1:])
-
-
-def visible_names(spec: Mapping, legacy: bool = False) -> list[str | None]:
-    """Headers that roles and rules may name; None in the place of an index column."""
-    names = list(spec.get("names") or [])
-    if legacy:
-        # One legacy delivery carries a row index in front.
-        first_is_index = "250424" in spec["File name"]
-        return [None if first_is_index and i == 0 else n.strip() for i, n in enumerate(names)]
-    is_sheet = spec["File name"].lower().endswith(".xlsx")
-    return [None if is_sheet and n == "Unnamed: 0" else n for n in names]
+    attributes = sources.select("file_path", "part", "spec_id", *[F.col(f"`{c}`").alias(n) for n, c in carry.items()])
+    small = len(paths) <= BROADCAST_ROWS and attributes.count() <= BROADCAST_ROWS
+    joined = rows.join(F.broadcast(attributes), "file_path") if small else salted_join(
+        rows, attributes, ["file_path"], "inner", spread=["block", "row"])
+    return joined.withColumn("block", F.col("block") + F.shiftleft(F.col("part").cast("long"), PART_BITS)).select(
+        "spec_id", *carry, *[c for c in rows.columns if c != "file_path"])
+
+
+def scan_all(
+    spark: SparkSession, plan: ScanPlan, carry: Mapping[str, str], style: ReadStyle = ReadStyle()
+) -> tuple[list[tuple[Layout, DataFrame]], list[str], DataFrame]:
+    """One scan per layout, the layouts read, and issues of those that the reader refuses."""
+    paths: dict[str, list[str]] = {key: [] for key in plan.layouts}
+    # Readers take a list of files, which Spark keeps on the driver in any case.
+    for r in plan.sources.filter("layout is not null").select("layout", "file_path").distinct().toLocalIterator():
+        paths[r["layout"]].append(r["file_path"])
+    scans, read, refused = [], [], {}
+    for key in sorted(plan.layouts):
+        layout = plan.layouts[key]
+        try:
+            of_layout = plan.sources.filter(F.col("layout") == key)
+            scans.append((layout, scan_group(spark, layout, of_layout, sorted(paths[key]), carry, style)))
+            read.append(key)
+        except AnalysisException as error:
+            refused[key] = error.getCondition()
+    failed = spark.createDataFrame(list(refused.items()), "layout string, condition string")
+    told = plan.sources.join(F.broadcast(failed), "layout").withColumnsRenamed({"Source model": "source_model", "File name": "file"})
+    message = F.concat(F.lit("cannot read "), F.col("file"), F.lit(": "), F.col("condition"))
+    return scans, read, issue(told, {"stage": "read", "severity": "error", "message": message}).distinct()
+
+
+def no_issues(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], SCHEMA)
+
+
+def all_rows(scans: Sequence[tuple[Layout, DataFrame]]) -> DataFrame:
+    return union_sources([rows for _, rows in scans])

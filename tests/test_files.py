@@ -326,7 +326,7 @@ def test_legacy(spark, tmp_path, rows):
     said = {(r["source_model"], r["stage"], r["message"]) for r in run.issues.collect()}
     assert said == {
         ("Model A", "Variables", "1 Variables not in the dictionary:"), ("Model A", "Variables", "Q | x - t"),
-        ("Model A", "Regions", "DE (kept)"),
+        ("Model A", "Regions", "DE (kept)"), ("Model A", "values", "1 rows lack model, scenario, region or unit and are left out"),
         ("none", "Variables", "1 Variables not in the dictionary:"), ("none", "Variables", "k - kg"),
         ("none", "empty", "no valid data in b.csv"),
         ("bad", "columns", "no column 'idx', source skipped"), ("by index", "columns", "no column 'idx', source skipped"),
@@ -338,14 +338,130 @@ def test_headers_of_odd_quotes_repeated_names_and_late_json_columns(spark, tmp_p
 
     from scenweave.sources.files import read_headers
 
-    (tmp_path / "quote.csv").write_text('a,5" pipe,c\n' + "1,2,3\n" * 200_000)
+    (tmp_path / "quote.csv").write_text('a,5" pipe,c\n' + "1,2,3\n" * 2_000_000)
+    (tmp_path / "large.csv").write_text('"a,b","c\nd"\n' + "1,2\n" * 2_000_000)
     (tmp_path / "names.csv").write_text("a,a,a.1\n1,2,3\n")
     (tmp_path / "late.json").write_text('{"x": 1}\n\n{"x": 2, "region": "AT"}\n')
     files = spark.createDataFrame(
-        [(f"file://{tmp_path}/{n}", k, ",") for n, k in (("quote.csv", "csv"), ("names.csv", "csv"), ("late.json", "json"))],
+        [(f"file://{tmp_path}/{n}", k, ",") for n, k in (("quote.csv", "csv"), ("large.csv", "csv"), ("names.csv", "csv"), ("late.json", "json"))],
         "file_path string, format string, separator string",
     )
     start = time.time()
-    got = {r["file_path"].rsplit("/", 1)[1]: r["names"] for r in read_headers(files).collect()}
-    assert time.time() - start < 60 and len(set(got["names.csv"])) == 3 and got["names.csv"][0] == "a" and got["names.csv"][2] == "a.1"
-    assert got["late.json"] == ["x", "region"]
+    got = {r["file_path"].rsplit("/", 1)[1]: r for r in read_headers(files).collect()}
+    assert time.time() - start < 60
+    names = got["names.csv"]["names"]
+    assert len(set(names)) == 3 and names[0] == "a" and names[2] == "a.1"
+    assert got["large.csv"]["names"] == ["a,b", "c\nd"]
+    assert got["late.json"]["names"] == ["x", "region"]
+    assert got["quote.csv"]["names"] is None and "no end of the first record" in got["quote.csv"]["failure"]
+
+
+HEAD = "scenario,region,variable,unit,year,value\n"
+
+
+def test_relative_root_and_look_alike_folders(spark, tmp_path, dictionaries, rows, monkeypatch):
+    """A root is the folder itself, not whatever path holds its name; the JVM keeps the folder that it was started in."""
+    import os
+
+    put(tmp_path, "data/M/a.csv", HEAD + "base,AT,Prod|Steel,t,2030,8\n")
+    put(tmp_path, "data/M/data/b.csv", HEAD + "base,DE,Prod|Steel,t,2030,9\n")
+    relative = os.path.relpath(tmp_path / "data", spark._jvm.java.lang.System.getProperty("user.dir"))
+    specs = [("M", "a.csv", "M", "", "", "variable"), ("M/data", "b.csv", "M", "", "", "variable")]
+    for root in (relative, f"file://{tmp_path}/data/"):
+        run = harmonize(spark, root, overview(spark, *specs), dictionaries())
+        assert rows(run.long.select("region", "value")) == [("Austria", 8.0), ("Germany", 9.0)]
+    assert rows(catalog_files(spark, relative).select("source_model", "file_location")) == [("M", "M"), ("M", "M/data")]
+
+
+def test_folders_of_parts(spark, tmp_path, dictionaries, rows):
+    """What Spark has written is one table, in each format; keys of JSON records may be missing in a part."""
+    table = spark.createDataFrame(
+        [("base", "AT", "Prod|Steel", "t", 2000 + i, float(i)) for i in range(40)],
+        "scenario string, region string, variable string, unit string, year int, value double")
+    for kind in ("parquet", "orc", "json"):
+        table.repartition(4, "year").write.format(kind).save(str(tmp_path / f"M/all.{kind}"))
+    table.repartition(3).write.option("header", True).csv(str(tmp_path / "M/all.csv"))
+    table.coalesce(1).write.parquet(str(tmp_path / "M/book.xlsx/Sheet.parquet"))
+    put(tmp_path, "M/late.json/part-0.json", '{"scenario":"base","region":"AT","variable":"Prod|Steel","year":2020,"value":1}\n')
+    put(tmp_path, "M/late.json/part-1.json", '{"scenario":"base","region":"DE","variable":"Prod|Steel","year":2020,"value":1,"unit":"kt"}\n')
+    whole = ["all.parquet", "all.orc", "all.json", "all.csv", "book.xlsx"]
+    specs = [("M", name, name, "Sheet" if name == "book.xlsx" else "", "", "variable") for name in [*whole, "late.json"]]
+    run = harmonize(spark, str(tmp_path), overview(spark, *specs), dictionaries())
+    assert rows(run.long.filter("model <> 'late.json'").select("model", "year", "value")) == sorted(
+        ((name, 2000 + i, float(i)) for name in whole for i in range(40)), key=repr)
+    assert run.issues.filter("severity = 'found'").count() == 6
+    assert rows(run.long.filter("model = 'late.json'").select("region", "unit", "value")) == [("Austria", None, 1.0), ("Germany", "Mt", 0.001)]
+    listed = rows(catalog_files(spark, str(tmp_path)).select("file_name", "sheet_name", "column_names"))
+    columns = "scenario, region, variable, unit, year, value"
+    assert listed == sorted([
+        *[(f"all.{k}", "", columns) for k in ("csv", "json", "orc", "parquet")], ("book.xlsx", "Sheet", columns),
+        ("late.json", "", "scenario, region, variable, year, value, unit")])
+
+
+def test_parts_keep_the_order_of_their_names(spark, tmp_path, dictionaries):
+    for i in range(3):
+        put(tmp_path, f"M/x.csv/part-{i}.csv", HEAD + "".join(f"base,AT,Prod|Steel,t,2020,{10 * i + k}\n" for k in range(5)))
+    run = harmonize(spark, str(tmp_path), overview(spark, ("M", "x.csv", "M", "", "", "variable")), dictionaries())
+    got = {r["region"]: r["value"] for r in run.long.collect()}
+    assert got == {f"dup_Austria_{5 * i + k + 1}": float(10 * i + k) for i in range(3) for k in range(5)}
+
+
+def test_encodings(spark, tmp_path, dictionaries, rows):
+    text = "scenario,region,variable,unit,year,value\nbase,Österreich,Prod|Steel,t,2030,8\nbase,AT,Prod|Steel,t,2030,9\n"
+    put(tmp_path, "M/latin.csv", text.encode("latin-1"))
+    put(tmp_path, "M/header.csv", text.replace("unit", "unité,unit").replace("t,20", "t,t,20").encode("latin-1"))
+    put(tmp_path, "M/plain.csv", text)
+    spec = SPEC + ", Encoding string"
+    told = [("M", n, "M", "", "", "variable", e) for n, e in (
+        ("latin.csv", "iso-8859-1"), ("latin.csv", None), ("header.csv", "ISO-8859-1"), ("header.csv", ""), ("plain.csv", "UTF-8"), ("plain.csv", "klingon"))]
+    run = harmonize(spark, str(tmp_path), load_specs(spark.createDataFrame(told, spec)), dictionaries([("Österreich", "Austria")]), chunk_bits=0)
+    assert run.long.filter("region like '%Austria%'").count() == 7
+    said = {(r["spec_id"], r["stage"], r["severity"], r["n"]) for r in run.issues.filter("stage in ('read', 'values')").collect()}
+    assert len(said) == 3
+    assert {(stage, n) for _, stage, _, n in said} == {("values", 1), ("read", None)}
+    assert run.issues.filter("message like '%unknown encoding KLINGON%'").count() == 1
+    assert run.issues.filter("message like '%not written in the encoding%'").count() == 1
+
+
+def test_thousands_of_files_in_one_plan(spark, tmp_path, dictionaries, rows):
+    """The plan depends on layouts, not on files, and no list of specifications is bounded."""
+    import re
+
+    heads = [HEAD, "region,scenario,variable,unit,year,value\n", "variable;unit;scenario;region;year;value\n"]
+    lines = ["base,AT,Prod|Steel,t,2030,{}\n", "AT,base,Prod|Steel,t,2030,{}\n", "Prod|Steel;t;base;AT;2030;{}\n"]
+
+    def build(n, folder):
+        for i in range(n):
+            put(folder, f"M{i % 7}/f{i}.csv", heads[i % 3] + lines[i % 3].format(i))
+        specs = [(f"M{i % 7}", f"f{i}.csv", f"M{i}", "", ";" if i % 3 == 2 else "", "variable") for i in range(n)]
+        return harmonize(spark, str(folder), overview(spark, *specs), dictionaries())
+
+    small, large = build(6, tmp_path / "small"), build(2000, tmp_path / "large")
+    assert rows(large.long.select("source_model", "value")) == sorted(((f"M{i}", float(i)) for i in range(2000)), key=repr)
+    nodes = [len(re.findall("FileScan|Scan |Join|Exchange", r.long._jdf.queryExecution().executedPlan().toString())) for r in (small, large)]
+    assert nodes[0] == nodes[1]
+    assert large.issues.filter("stage = 'source'").count() == 2000
+
+
+def test_empty_files_are_in_the_catalog(spark, tmp_path, rows):
+    put(tmp_path, "M/none.csv", "")
+    put(tmp_path, "M/some.csv", "a,b\n")
+    assert rows(catalog_files(spark, str(tmp_path)).select("file_name", "column_names")) == [("none.csv", ""), ("some.csv", "a, b")]
+
+
+def test_legacy_reports_every_row_it_leaves_out(spark, tmp_path, rows):
+    body = "P,AT,s,2020,1,t\nP,AT,s,2020,1,t,more\nP,AT,s,soon,1,t\nP,AT,s,2020,many,t\nP,,s,2020,1,t\nQ,AT,s,2020,1,t\n"
+    put(tmp_path, "M/a.csv", "K,R,S,Y,V,U\n" + body)
+    put(tmp_path, "M/bad.parquet", "no such thing")
+    legacy = SPEC + (", `Variable value (original)` string, `Variable name (new)` string, `Source Scenario` string, "
+                     "`Source Region` string, `Source Year` string, `Source Value` string, `Source Unit` string, Unit string")
+    rest = ("K", "P", "Steel", "S", "R", "Y", "V", "U", None)
+    specs = spark.createDataFrame([("M", "a.csv", "A", "", "", *rest), ("M", "bad.parquet", "A", "", "", *rest)], legacy)
+    run = harmonize_legacy(spark, str(tmp_path), specs)
+    assert rows(legacy_wide(run.long).drop("spec_id")) == [("A", "s", "AT", "Steel", "t", 1.0)]
+    said = {(r["file"], r["message"].split(" ", 1)[1] if r["n"] else r["stage"], r["n"]) for r in run.issues.collect()}
+    assert said == {
+        ("a.csv", "rows have more fields than the header and are left out", 1), ("a.csv", "rows have no whole-number year and are left out", 1),
+        ("a.csv", "values are no numbers and count as missing", 1), ("a.csv", "rows lack model, scenario, region or unit and are left out", 1),
+        ("a.csv", "Variables not in the dictionary:", 1), ("a.csv", "- t", 1), ("bad.parquet", "read", None),
+    }
