@@ -24,6 +24,7 @@ from .lookup import (
     convert_units,
     dictionary_summary,
     load_dictionary,
+    malformed_factors,
     map_by_spec,
     map_lenient,
     map_model,
@@ -38,7 +39,7 @@ from .unmapped import unmapped, unmapped_set
 __all__ = [
     "Dictionary", "SpecError", "assert_unique", "canonicalize", "compose_variable", "convert_units",
     "country_codes", "dictionary_summary", "distinct_years", "drop_blank_rows", "duplicate_counters",
-    "duplicate_stats", "first_per_group", "found_columns", "load_dictionary", "map_by_spec",
+    "duplicate_stats", "first_per_group", "found_columns", "load_dictionary", "malformed_factors", "map_by_spec",
     "map_lenient", "map_model", "map_strict", "mark_duplicates", "measure", "measure_all",
     "normalize_regions", "nullify_tokens", "pivot_sum", "pivot_years", "project_spec",
     "region_coverage", "region_misses", "render_codelist", "render_report", "require",

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..fixed import DUPLICATE_PREFIX, ORDER
 from ..functions.text import nullify
+from .issues import issue
 from .unmapped import unmapped
 
 BROADCAST_ROWS = 500_000
@@ -46,37 +47,52 @@ class Mapped(NamedTuple):
     issues: DataFrame
 
 
-def load_dictionary(
-    df: DataFrame, source: str, target: str, factor: str | None = None,
-    seq: Sequence[str] | None = None,
+def _last_entries(
+    df: DataFrame, source: str, target: str, factor: str | None = None, seq: Sequence[str] | None = None
 ) -> DataFrame:
-    """Reduce a dictionary table to one row per source: the last one wins.
-
-    A blank target on the last row leaves the key unmapped. In a unit table
-    rows without source or target are passed over first, as are those whose
-    factor is a text that spells no number: their unit stays unmapped and is
-    reported as such. A blank factor counts as 1. ``seq`` names the columns that give the order of the rows;
-    without it the order of the table is taken.
-    """
+    """The last row of each source: ``source``, its ``entry``, and whether the ``written`` factor spells a number."""
     absent = [c for c in (source, target, factor) if c and c not in df.columns]
     if absent:
         raise KeyError(f"dictionary has no column {', '.join(map(repr, absent))}")
     position = F.struct(*seq) if seq else F.monotonically_increasing_id()
-    entry = [F.col(f"`{target}`").cast("string").alias("target")]
-    spelled = F.lit(True)
+    entry, spelled, written = [F.col(f"`{target}`").cast("string").alias("target")], F.lit(True), F.lit(None).cast("string")
     if factor:
-        number = F.col(f"`{factor}`").try_cast("double")
-        spelled = number.isNotNull() | F.coalesce(nullify(F.trim(F.col(f"`{factor}`").cast("string"))), F.lit("")).eqNullSafe("")
+        number, written = F.col(f"`{factor}`").try_cast("double"), F.col(f"`{factor}`").cast("string")
+        spelled = number.isNotNull() | F.coalesce(nullify(F.trim(written)), F.lit("")).eqNullSafe("")
         entry.append(F.coalesce(F.nanvl(number, F.lit(None)), F.lit(1.0)).alias("factor"))
     rows = df.select(
         F.col(f"`{source}`").cast("string").alias("source"),
-        F.struct(*entry).alias("entry"),
+        F.struct(F.struct(*entry).alias("entry"), spelled.alias("spelled"), written.alias("written")).alias("row"),
         position.alias("seq"),
-        spelled.alias("spelled"),
     ).filter(F.col("source").isNotNull())
     if factor:
-        rows = rows.filter(F.col("entry.target").isNotNull() & F.col("spelled"))
-    return rows.groupBy("source").agg(F.max_by("entry", "seq").alias("entry")).select("source", "entry.*")
+        rows = rows.filter(F.col("row.entry.target").isNotNull())
+    return rows.groupBy("source").agg(F.max_by("row", "seq").alias("row")).select("source", "row.*")
+
+
+def load_dictionary(
+    df: DataFrame, source: str, target: str, factor: str | None = None,
+    seq: Sequence[str] | None = None,
+) -> DataFrame:
+    """Reduce a dictionary table to one row per source: the last one wins.
+
+    A blank target on the last row leaves the key unmapped. In a unit table
+    rows without source or target are passed over first; a last row whose
+    factor is a text that spells no number leaves its unit unmapped (see
+    :func:`malformed_factors`), even where an earlier row spells one. A blank
+    factor counts as 1. ``seq`` names the columns that give the order of the
+    rows; without it the order of the table is taken.
+    """
+    return _last_entries(df, source, target, factor, seq).filter("spelled").select("source", "entry.*")
+
+
+def malformed_factors(
+    df: DataFrame, source: str, target: str, factor: str, seq: Sequence[str] | None = None
+) -> DataFrame:
+    """Issues of a unit table: one per unit whose last row has a factor that spells no number."""
+    odd = _last_entries(df, source, target, factor, seq).filter(~F.col("spelled"))
+    message = F.concat(F.lit("factor "), "written", F.lit(" of "), "source", F.lit(" is no number, the unit counts as missing"))
+    return issue(odd, {"stage": "Units", "severity": "error", "key": F.col("source"), "message": message})
 
 
 def measure_all(frames: Mapping[str, DataFrame]) -> dict[str, Dictionary]:

@@ -284,3 +284,14 @@ def test_a_factor_that_is_no_number_leaves_the_unit_unmapped(spark):
     )
     got = {r["source"]: r["factor"] for r in load_dictionary(units, "s", "t", "f", ["seq"]).collect()}
     assert got == {"c": 1.0, "d": 1.0, "e": 2.5, "f": 1.0}
+
+
+def test_a_malformed_last_factor_does_not_revive_an_earlier_one(spark, rows):
+    from scenweave.operators import malformed_factors
+
+    units = spark.createDataFrame(
+        [("t", "t", "2", 0), ("t", "t", "1,000", 1), ("kg", "t", "x", 2), ("kg", "t", "0.001", 3), ("g", "t", "", 4), ("u", None, "x", 5)],
+        "s string, t string, f string, seq int")
+    assert rows(load_dictionary(units, "s", "t", "f", ["seq"])) == [("g", "t", 1.0), ("kg", "t", 0.001)]
+    told = malformed_factors(units, "s", "t", "f", ["seq"]).collect()
+    assert [(r["key"], r["severity"], r["message"]) for r in told] == [("t", "error", "factor 1,000 of t is no number, the unit counts as missing")]

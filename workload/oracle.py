@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from . import views as v
+from .jobs import FEW, LAYOUTS
 from .views import (
     DICTIONARIES_SQL, KEYS_SQL, MAPPED_SQL, NULLS_SQL, PLAIN_SQL, REGIONS_SQL, RESOLVED_SQL, RESULTS_SQL,
     UNITS_SQL, cells_sql, inline_sql, last_wins_sql,
@@ -267,3 +268,63 @@ SQL = {
                    LEFT JOIN d_region d ON d.source = k.region WHERE s.target IS NOT NULL)""", select=f"""
         SELECT source_model, {IAMC}, {cells_sql(SUM_CELL)} FROM l GROUP BY source_model, {IAMC}"""),
 }
+
+# --- jobs on files ------------------------------------------------------------
+
+BUCKETED_SQL = f"""b AS (
+  SELECT source_model, CAST(floor(ord * {FEW}.0::DOUBLE / ((SELECT max(ord) FROM r) + 1)) AS INTEGER) % {len(LAYOUTS)} AS layout,
+         CAST(floor(ord * {FEW}.0::DOUBLE / ((SELECT max(ord) FROM r) + 1)) AS INTEGER) AS bucket FROM r),
+files AS (SELECT DISTINCT source_model, layout, bucket FROM b)"""
+NAMES_SQL = "CASE layout " + " ".join(f"WHEN {i} THEN '{', '.join(columns)}'" for i, (columns, _) in enumerate(LAYOUTS)) + " END"
+RESOLVED_ROWS = with_(*MAPPED_ALL, RESOLVED_SQL, select="SELECT * FROM resolved")
+
+SQL |= {
+    "harmonize_many_files": RESOLVED_ROWS,
+    "harmonize_parts": RESOLVED_ROWS,
+    "harmonize_encoding": RESOLVED_ROWS,
+    "written_long": RESOLVED_ROWS,
+    "written_wide": SQL["harmonize_wide"],
+    "harmonize_sheets": RESOLVED_ROWS,
+    "harmonize_many_files_found": with_(RESULTS_SQL, BUCKETED_SQL, select="""
+        SELECT source_model, 'source' AS stage, 'info' AS severity, NULL AS message, count(*) AS n FROM files GROUP BY source_model
+        UNION ALL
+        SELECT source_model, 'columns', 'found', 'columns: scenario, region, year, value, unit', count(*) FROM files GROUP BY source_model"""),
+    "catalog_layouts": with_(RESULTS_SQL, BUCKETED_SQL, select=f"""
+        SELECT 'layout ' || layout AS layout, source_model AS model, {NAMES_SQL} AS column_names, count(*) AS files
+        FROM files GROUP BY layout, source_model"""),
+    "written_catalog": with_(RESULTS_SQL, BUCKETED_SQL, select=f"""
+        SELECT 'layout ' || layout AS layout, {NAMES_SQL} AS names, count(*) AS files FROM files GROUP BY layout"""),
+    "harmonize_wrong_encoding": with_(RESULTS_SQL, select="SELECT source_model, count(*) AS n FROM r GROUP BY source_model"),
+    "quarantined_rows": with_(RESULTS_SQL, select="""
+        SELECT source_model, 'error' AS severity, 'rows have more fields than the header and are left out' AS message, count(*) AS n
+        FROM r WHERE ord % 13 = 0 GROUP BY source_model
+        UNION ALL SELECT source_model, 'warning', 'values are no numbers and count as missing', count(*)
+        FROM r WHERE ord % 13 <> 0 AND ord % 7 = 0 GROUP BY source_model
+        UNION ALL SELECT source_model, 'error', 'rows have no whole-number year and are left out', count(*)
+        FROM r WHERE ord % 13 <> 0 AND ord % 11 = 0 GROUP BY source_model"""),
+    "written_per_model": with_(*MAPPED_ALL, RESOLVED_SQL, select=f"""
+        SELECT count(*) AS n, round(sum(total), 3) AS total, source_model FROM (
+          SELECT source_model, {IAMC}, coalesce(sum(value), 0)::DOUBLE AS total FROM resolved GROUP BY source_model, {IAMC}) GROUP BY source_model"""),
+    "written_report": with_(*MAPPED_ALL, COUNTERS_SQL, select="""
+        SELECT '=== ' || source_model || ' ===' AS line FROM counters
+        UNION ALL SELECT removed || ' identical rows removed' FROM counters WHERE removed > 0
+        UNION ALL SELECT renamed || ' differing rows renamed' FROM counters WHERE renamed > 0"""),
+    "written_codelist": """
+        SELECT line, count(*) AS n FROM (
+          SELECT '- ' || p_name || ', ' || p_brand || ':' AS line FROM part
+          UNION ALL SELECT '    subsector_name: ' || coalesce(nullif(p_type, 'PROMO'), '') FROM part
+          UNION ALL SELECT '    unit: ' || p_size FROM part) GROUP BY line""",
+    "written_regions": """
+        SELECT 'N' || (c_nationkey * 2) AS source_region, c_custkey AS note, n_name AS target_region
+        FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey * 2""",
+    "legacy_files": with_(RESULTS_SQL, REGIONS_SQL, f"""l AS (
+        SELECT r.source_model AS model, scenario, coalesce(d.target, region) AS region,
+               upper(split_part(original_variable, '|', 1) || ' | ' || unit) AS variable, unit, year, value
+        FROM r LEFT JOIN d_region d ON d.source = region WHERE unit <> 'x' AND ord % 17 <> 0)""", select=f"""
+        SELECT {IAMC}, {cells_sql(SUM_CELL)} FROM l GROUP BY {IAMC}"""),
+    "legacy_report": with_(RESULTS_SQL, select="""
+        SELECT source_model, 'values' AS stage, 'rows have no whole-number year and are left out' AS what, count(*) AS n
+        FROM r WHERE unit <> 'x' AND ord % 17 = 0 GROUP BY source_model
+        UNION ALL SELECT source_model, 'Variables', split_part(original_variable, '|', 1) || ' | ' || unit, count(*)
+        FROM r WHERE unit = 'x' GROUP BY ALL"""),
+}

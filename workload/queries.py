@@ -18,6 +18,7 @@ from scenweave.sources.specs import spec_summary
 
 from . import deliveries
 from . import views as v
+from .jobs import JOBS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -434,4 +435,4 @@ ALL: dict[str, Query] = {
         harmonize_mapped, harmonize_e2e, harmonize_wide, harmonize_duplicate_report, harmonize_legacy_e2e,
         harmonize_files, harmonize_files_misses, catalog,
     ]
-}
+} | JOBS
