@@ -1,13 +1,14 @@
 """Dictionary joins.
 
 A dictionary is measured before it is broadcast. One that is over the bound is
-joined by a shuffle in which each source key is spread over several tasks, so
-that a key holding a large share of all rows does not end up in one of them.
+joined by a shuffle in which each source key that holds more than a task's
+share of the rows is spread over several tasks; its entry alone is repeated.
 NULL never matches.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
@@ -24,7 +25,6 @@ from .unmapped import unmapped
 
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 32 * 1024 * 1024
-SALTS = 64
 
 
 @dataclass(frozen=True)
@@ -146,17 +146,36 @@ def dictionary_summary(dictionaries: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.union, counts)
 
 
+def hot_keys(df: DataFrame, on: Sequence[str]) -> dict[int, int]:
+    """Keys that hold more than a task's share of the rows, as hashes, with the number of tasks they are to be spread over.
+
+    One pass over the key columns, with a sketch of fixed size per task. The
+    numbers add up to less than twice the number of tasks.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    top = f"approx_top_k(k, {min(2 * tasks, 50_000)}, {min(max(20 * tasks, 10_000), 1_000_000)})"
+    found = df.select(F.xxhash64(*on).alias("k")).agg(F.count(F.lit(1)).alias("n"), F.expr(top).alias("top")).first()
+    share = max(1.0, found["n"] / tasks)
+    return {r["item"]: math.ceil(r["count"] / share) for r in found["top"] or () if r["count"] > share}
+
+
 def salted_join(
     df: DataFrame, side: DataFrame, on: Sequence[str], how: str = "left",
-    salts: int = SALTS, spread: Sequence[str] | None = None,
+    spread: Sequence[str] | None = None, hot: Mapping[int, int] | None = None,
 ) -> DataFrame:
-    """Shuffle join in which a key of ``df`` is spread over ``salts`` tasks.
+    """Shuffle join in which hot keys of ``df`` are spread over several tasks.
 
-    ``side`` is repeated once per salt and has to be unique on ``on``. The salt
-    is a hash of the row, so a task that runs again gives the same one.
+    ``side`` has to be unique on ``on``; only its entries for hot keys are
+    repeated, once per task of theirs. All other keys meet in one task each.
+    The salt is a hash of the row, so a task that runs again gives the same one.
     """
-    salt = F.pmod(F.xxhash64(*(spread or df.columns)), F.lit(salts)).cast("int")
-    repeated = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    hot = hot_keys(df, on) if hot is None else hot
+    salts = F.lit(1)
+    if hot:
+        table = F.create_map(*[F.lit(x) for entry in hot.items() for x in entry])
+        salts = F.coalesce(F.try_element_at(table, F.xxhash64(*on)), F.lit(1))
+    salt = F.pmod(F.xxhash64(*(spread or df.columns)), salts).cast("int")
+    repeated = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
     return df.withColumn("_salt", salt).join(repeated, [*on, "_salt"], how).drop("_salt")
 
 

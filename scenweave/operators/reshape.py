@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..fixed import IAMC_KEYS
-from .lookup import salted_join
+from ..plans.staging import stage
+from .lookup import BROADCAST_ROWS, salted_join
 
 
 def distinct_years(df: DataFrame, year: str = "year") -> list[int]:
@@ -31,7 +32,8 @@ def pivot_years(
     A cell with two rows is an error of its ``scope``: all rows of that scope
     are withheld (``quarantine``), the job fails (``raise``) or the larger
     value is taken (``ignore``). The check is part of the one aggregation that
-    builds the columns, so the whole pivot is one shuffle.
+    builds the columns, so the whole pivot is one shuffle. To withhold scopes,
+    its result is written to the shared folder and read again.
     """
     if on_duplicate not in ("quarantine", "raise", "ignore"):
         raise ValueError(f"unknown on_duplicate {on_duplicate!r}")
@@ -43,13 +45,14 @@ def pivot_years(
     crowded = (F.greatest(*used) if len(used) > 1 else used[0] if used else F.lit(0)) > 1
     table = df.groupBy(*by).agg(*cells, crowded.alias("_crowded"))
     if on_duplicate == "quarantine" and scope:
-        # No row per model is ever gathered: the failing models are few, the
-        # rows of one model may be many, hence the salt. It is taken from the
-        # cells too, or else the join would move below the aggregation and the
-        # two uses of that would no longer be one.
-        table = table.withColumn("_scope", F.struct(scope))
-        failed = table.filter(F.col("_crowded") & _names(names)).select("_scope").distinct()
-        table = salted_join(table, failed, ["_scope"], "left_anti", spread=[*by, *names])
+        # Written once: the failing scopes are counted from one column of it, and usually there is none to leave out.
+        table = stage(table.withColumn("_scope", F.struct(scope)), "pivot")
+        failed = table.filter("_crowded").select("_scope").distinct()
+        n = failed.count()
+        if 0 < n <= BROADCAST_ROWS:
+            table = table.join(F.broadcast(failed), "_scope", "left_anti")
+        elif n:
+            table = salted_join(table, failed, ["_scope"], "left_anti", spread=by)
     elif on_duplicate == "raise":
         table = table.withColumn(
             "_crowded", F.when(F.col("_crowded"), F.raise_error("duplicate cell in pivot")).otherwise(False)
@@ -58,16 +61,6 @@ def pivot_years(
     return table.orderBy(*by) if sort else table
 
 
-def _names(columns: Sequence[str]) -> Column:
-    """Always true, but names the columns.
-
-    A plan that reads a table twice runs it once if both uses take the same
-    columns of it.
-    """
-    first = F.coalesce(*[F.col(f"`{c}`") for c in columns]) if columns else F.lit(None)
-    return first.isNull() | (first == first)
-
-
 def pivot_sum(
     df: DataFrame, keys: Sequence[str] = IAMC_KEYS, years: Sequence[int] | None = None,
     year: str = "year", value: str = "value", sort: bool = False,

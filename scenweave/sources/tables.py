@@ -25,7 +25,7 @@ from ..functions.paths import one_spelling
 from ..functions.text import as_text, nullify, py_strip
 from ..operators.columns import type_measures, union_sources, variable_text
 from ..operators.issues import SCHEMA, issue
-from ..operators.lookup import BROADCAST_ROWS, salted_join
+from ..operators.lookup import BROADCAST_ROWS
 from ..plans.staging import stage
 from .files import TABLE_KEYS, load_path, located_files, read_headers
 
@@ -256,7 +256,7 @@ def scan_group(
     """Rows of all sources of one layout, with canonical columns and input positions.
 
     ``carry`` maps output columns to columns of ``sources``. These are joined
-    to the rows by file: broadcast up to a number of them, spread beyond it.
+    to the rows by file: broadcast up to a number of them, by a shuffle beyond it.
     """
     df, cells, overflow = _open(spark, layout, [load_path(u) for u in paths], style)
     kinds = [f.dataType for f in df.schema][: len(cells)]
@@ -299,8 +299,8 @@ def scan_group(
     rows = type_measures(rows)
     attributes = sources.select("file_path", "part", "spec_id", *[F.col(f"`{c}`").alias(n) for n, c in carry.items()])
     small = len(paths) <= BROADCAST_ROWS and attributes.count() <= BROADCAST_ROWS
-    joined = rows.join(F.broadcast(attributes), "file_path") if small else salted_join(
-        rows, attributes, ["file_path"], "inner", spread=["block", "row"])
+    # Beyond the bound rows are shuffled by file; Spark splits a large file's share at run time.
+    joined = rows.join(F.broadcast(attributes) if small else attributes, "file_path")
     return joined.withColumn("block", F.col("block") + F.shiftleft(F.col("part").cast("long"), PART_BITS)).select(
         "spec_id", *carry, *[c for c in rows.columns if c != "file_path"])
 

@@ -465,3 +465,21 @@ def test_legacy_reports_every_row_it_leaves_out(spark, tmp_path, rows):
         ("a.csv", "values are no numbers and count as missing", 1), ("a.csv", "rows lack model, scenario, region or unit and are left out", 1),
         ("a.csv", "Variables not in the dictionary:", 1), ("a.csv", "- t", 1), ("bad.parquet", "read", None),
     }
+
+
+def test_per_model_runs_a_job_per_set_of_years(spark, tmp_path):
+    """Many models with two sets of years: two writes, a folder per model with its own years, rows in order."""
+    n = 300
+    long = spark.range(n * 4).selectExpr(
+        "concat('m ', id % 300) as source_model", "concat('m ', id % 300) as model", "'s' as scenario", "concat('r', id) as region", "'v' as variable",
+        "'u' as unit", "cast(if(id % 300 < 100, 2020, 2030) + id % 2 as int) as year", "cast(id as double) as value")
+    before = spark._jvm.java.lang.System.nanoTime()
+    write_iamc(long, str(tmp_path / "out"), "per_model")
+    assert spark._jvm.java.lang.System.nanoTime() - before < 120e9
+    folders = sorted(p.name for p in (tmp_path / "out").iterdir() if p.is_dir())
+    assert folders == sorted(f"pyam_m {i}" for i in range(n))
+    for i in (7, 250):
+        back = spark.read.option("header", True).csv(str(tmp_path / f"out/pyam_m {i}"))
+        years = [str((2020 if i < 100 else 2030) + i % 2)]
+        assert back.columns == ["model", "scenario", "region", "variable", "unit", *years]
+        assert [r["region"] for r in back.collect()] == sorted(f"r{i + 300 * k}" for k in range(4))

@@ -292,6 +292,42 @@ def test_a_malformed_last_factor_does_not_revive_an_earlier_one(spark, rows):
     units = spark.createDataFrame(
         [("t", "t", "2", 0), ("t", "t", "1,000", 1), ("kg", "t", "x", 2), ("kg", "t", "0.001", 3), ("g", "t", "", 4), ("u", None, "x", 5)],
         "s string, t string, f string, seq int")
-    assert rows(load_dictionary(units, "s", "t", "f", ["seq"])) == [("g", "t", 1.0), ("kg", "t", 0.001)]
+    assert rows(op.load_dictionary(units, "s", "t", "f", ["seq"])) == [("g", "t", 1.0), ("kg", "t", 0.001)]
     told = malformed_factors(units, "s", "t", "f", ["seq"]).collect()
     assert [(r["key"], r["severity"], r["message"]) for r in told] == [("t", "error", "factor 1,000 of t is no number, the unit counts as missing")]
+
+
+def test_only_hot_keys_of_a_large_dictionary_are_repeated(spark, rows, monkeypatch):
+    from scenweave.operators import lookup
+
+    n = 9000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.concat(F.lit("k"), F.col("id") % 500)).alias("region"), F.col("id").alias("ord"))
+    entries = [("hot", "H", 0)] + [(f"k{i}", f"R{i}", i + 1) for i in range(400)]
+    table = op.load_dictionary(spark.createDataFrame(entries, "s string, t string, seq int"), "s", "t", seq=["seq"])
+    want = rows(lookup.map_lenient(df, "region", table))
+    monkeypatch.setattr(lookup, "BROADCAST_ROWS", 10)
+    assert not lookup.measure(table).small
+    assert rows(lookup.map_lenient(df, "region", table)) == want
+    keyed = df.withColumnRenamed("region", "_key")
+    hot = lookup.hot_keys(keyed, ["_key"])
+    # The hot key and the rows without a key: a third of the rows each, on 8 tasks.
+    assert sorted(hot.values()) == [3, 3]
+    side = table.withColumnRenamed("source", "_key")
+    joined = lookup.salted_join(keyed, side, ["_key"], "inner", hot=hot)
+    assert joined.count() == sum(1 for r in want if r[1] is not None and r[0] != "x" and (r[0] in ("H",) or str(r[0]).startswith("R")))
+    per_task = keyed.withColumn("salt", F.pmod(F.xxhash64("_key", "ord"), F.lit(3))).filter("_key = 'hot'").groupBy("salt").count().collect()
+    assert len(per_task) == 3 and max(r["count"] for r in per_task) < 1200
+
+
+def test_withheld_scopes_plan_one_pivot(spark, rows):
+    from scenweave.operators import pivot_years
+
+    df = spark.createDataFrame(
+        [(f"m{i % 5}", f"m{i % 5}", "s", f"r{i}", "v", "u", 2020 + i % 3, float(i)) for i in range(60)] + [("m3", "m3", "s", "r3", "v", "u", 2020, 1.0)] * 2,
+        "source_model string, model string, scenario string, region string, variable string, unit string, year int, value double")
+    out = pivot_years(df)
+    assert {r[0] for r in rows(out.select("source_model"))} == {"m0", "m1", "m2", "m4"} and out.count() == 48
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("HashAggregate") <= 2 and "SortMergeJoin" not in plan
+    assert pivot_years(df.filter("source_model <> 'm3'")).count() == 48
