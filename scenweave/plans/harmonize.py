@@ -248,13 +248,14 @@ def harmonize(
     ``dictionaries`` are loaded ones. Planning reads the file list and the
     headers, and writes what it found about each source; the rows themselves
     are read when the result is written. The overview may have any length:
-    it stays a table, of which the driver sees the distinct layouts.
+    it stays a table, of which the driver sees the distinct layouts. A source
+    with a blank variable rule has variables as columns.
     """
     numbered = number(specs if "seq" in specs.columns else load_specs(specs), ["seq"], "spec_id", "specs")
     measured = measure_all(dictionaries)
     # The model is a property of the source: translated once per source, not per row.
     known = map_model(numbered, measured["models"], "Source model")
-    plan = plan_scans(locate_specs(spark, root, known), aliases, strict_names)
+    plan = plan_scans(locate_specs(spark, root, known), aliases, strict_names, measured["variables"].frame)
     scans, read, refused = scan_all(spark, plan, {"source_model": "Source model", "model": "model"}, style)
     named = plan.sources.withColumnsRenamed({"Source model": "source_model", "File name": "file"})
     titles = issue(

@@ -40,7 +40,8 @@ class Layout:
 
     ``roles`` gives the column position of scenario, region and the others, -1
     where the file has no such column; ``parts`` the positions of the variable
-    columns. ``fields`` are names and types where columns are found by name.
+    columns. ``fields`` are names and types where columns are found by name,
+    ``variables`` positions and names of columns that are variables themselves.
     """
 
     format: str
@@ -50,6 +51,7 @@ class Layout:
     fields: tuple[tuple[str, str], ...]
     roles: tuple[tuple[str, int], ...]
     parts: tuple[int, ...]
+    variables: tuple[tuple[int, str], ...] = ()
 
 
 @dataclass(frozen=True)
@@ -166,6 +168,7 @@ def layouts_of(sources: DataFrame, roles: Sequence[str]) -> tuple[DataFrame, dic
     described = F.struct(
         "format", "separator", F.when(~by_name, F.coalesce("encoding", F.lit("UTF-8"))).alias("encoding"), F.size("names").alias("width"),
         F.when(by_name, F.arrays_zip("names", "types")).alias("fields"), "positions", "parts",
+        (F.col("variables") if "variables" in sources.columns else F.array().cast("array<struct<at: int, name: string>>")).alias("variables"),
     )
     keyed = stage(
         sources.withColumn("described", described)
@@ -175,16 +178,40 @@ def layouts_of(sources: DataFrame, roles: Sequence[str]) -> tuple[DataFrame, dic
         r["layout"]: Layout(
             r["format"], r["separator"], r["encoding"], r["width"], tuple((f["names"], f["types"]) for f in r["fields"] or ()),
             tuple(zip(roles, (-1 if p is None else p for p in r["positions"]), strict=True)), tuple(r["parts"]),
+            tuple((x["at"], x["name"]) for x in r["variables"] or ()),
         )
         for r in found
     }
     return keyed.drop("described", "positions", "parts"), layouts
 
 
+def _with_variables(df: DataFrame, dictionary: DataFrame | None) -> DataFrame:
+    """Sources without a variable rule have variables as columns: those beside the roles whose header the dictionary translates.
+
+    Adds ``variables`` (position and name) and ``strangers``, the other headers.
+    """
+    none = F.array().cast("array<struct<at: int, name: string>>")
+    if dictionary is None:
+        return df.withColumns({"variables": none, "strangers": none})
+    roles = F.map_values("chosen")
+    headers = F.filter(F.transform("seen", lambda n, i: F.struct(i.alias("at"), py_strip(n).alias("name"))),
+                       lambda x: x["name"].isNotNull() & ~F.coalesce(F.array_contains(roles, x["at"]), F.lit(False)))
+    each = df.filter(F.col("wide") & F.col("names").isNotNull()).select("spec_id", "file_path", F.explode(headers).alias("h"))
+    known = dictionary.filter("target is not null").select(F.col("source").alias("_source"))
+    told = each.join(known, F.col("h.name") == F.col("_source"), "left").groupBy("spec_id", "file_path").agg(*(
+        F.sort_array(F.collect_list(F.when(hit, F.col("h")))).alias(name)
+        for name, hit in (("variables", F.col("_source").isNotNull()), ("strangers", F.col("_source").isNull()))))
+    return df.join(told, ["spec_id", "file_path"], "left").withColumns({c: F.coalesce(c, none) for c in ("variables", "strangers")})
+
+
 def plan_scans(
-    located: DataFrame, aliases: Mapping[str, Sequence[str]] = COLUMN_ALIASES, strict_names: bool = False
+    located: DataFrame, aliases: Mapping[str, Sequence[str]] = COLUMN_ALIASES, strict_names: bool = False, variables: DataFrame | None = None,
 ) -> ScanPlan:
-    """Work out each source's columns; set those apart that cannot be read."""
+    """Work out each source's columns; set those apart that cannot be read.
+
+    A source with a blank variable rule has variables as columns, if the
+    dictionary of ``variables`` is given.
+    """
     canonical = list(aliases)
     first = {c: F.coalesce(*[position(F.col("seen"), F.lit(v)) for v in variants]) for c, variants in aliases.items()}
     df = located.withColumn("seen", visible_names()).withColumn("problem", unreadable())
@@ -198,18 +225,22 @@ def plan_scans(
         return F.coalesce(by_header, by_role)
 
     role = lambda name: F.try_element_at("chosen", F.lit(name))
-    df = df.withColumn("rule", rule_parts(F.col("Variable column")))
+    wide = (py_strip(F.col("Variable column")) == "") & F.lit(variables is not None)
+    df = _with_variables(df.withColumn("wide", wide), variables)
+    df = df.withColumn("rule", F.when(F.col("wide"), F.array().cast("array<string>")).otherwise(rule_parts(F.col("Variable column"))))
     df = df.withColumn("parts", F.transform("rule", at))
     df = df.withColumns({
         "missing": F.filter("rule", lambda p: at(p).isNull()),
         "found": F.array_compact(F.array(*[F.when(role(r).isNotNull(), F.lit(r)) for r in ROLES])),
         "doubled": F.filter(F.array(*map(F.lit, canonical)), lambda c: position(F.col("seen"), c) != F.try_element_at("chosen", c)),
-        "needed": F.array_compact(F.array(*[F.when(role(r).isNull(), F.lit(r)) for r in ("unit", "value", "year")])),
-        "positions": F.array(*[role(r) for r in ROLES]),
+        "needed": F.array_compact(F.array(*[
+            F.when(role(r).isNull() & (~F.col("wide") if r == "value" else F.lit(True)), F.lit(r)) for r in ("unit", "value", "year")])),
+        "positions": F.array(*[F.when(~F.col("wide"), role(r)) if r == "value" else role(r) for r in ROLES]),
     })
     fine = F.col("problem").isNull()
     complete = fine & (F.size("missing") == 0)
-    df = df.withColumn("usable", complete & (F.size("needed") == 0))
+    bare = F.col("wide") & (F.size("variables") == 0)
+    df = df.withColumn("usable", complete & (F.size("needed") == 0) & ~bare)
     keyed, layouts = layouts_of(df, ROLES)
     said = keyed.withColumnsRenamed({"Source model": "source_model", "File name": "file"})
     issues = issue(
@@ -224,6 +255,9 @@ def plan_scans(
            "message": F.lit(f"no column for {r}")} for r in ("region", "scenario")],
         {"when": complete & (F.size("needed") > 0), "stage": "columns", "severity": "error",
          "message": F.concat(F.lit("no column for "), F.array_join("needed", ", "), F.lit(", source skipped"))},
+        {"when": complete & bare, "stage": "columns", "severity": "error", "message": F.lit("no column is a variable of the dictionary, source skipped")},
+        {"when": complete & ~bare & (F.size("strangers") > 0), "stage": "Variables", "severity": "warning", "n": F.size("strangers"),
+         "message": F.concat(F.lit("columns that are no variables of the dictionary: "), quoted(F.transform("strangers", lambda x: x["name"])))},
     ).distinct()
     return ScanPlan(keyed, layouts, issues)
 
@@ -275,10 +309,11 @@ def scan_group(
             columns[name] = F.lit(None).cast("string")
         else:
             columns[name] = typed(i) if name in ("year", "value") else text(i, name)
-    columns["original_variable"] = variable_text(
-        [text(i) for i in layout.parts], style.sep, style.null_text, style.trim
-    )
-    used = list(dict.fromkeys([*(i for _, i in layout.roles if i >= 0), *layout.parts]))
+    if not layout.variables:
+        columns["original_variable"] = variable_text(
+            [text(i) for i in layout.parts], style.sep, style.null_text, style.trim
+        )
+    used = list(dict.fromkeys([*(i for _, i in layout.roles if i >= 0), *layout.parts, *(i for i, _ in layout.variables)]))
     if layout.format == "csv" and not style.blank_rows:
         first = list(dict.fromkeys([*used, *range(len(cells))]))
         df = df.filter(F.coalesce(*[nullify(cells[i]) for i in first], F.lit(None).cast("string")).isNotNull())
@@ -295,7 +330,11 @@ def scan_group(
         *[c.alias(n) for n, c in columns.items()],
         overflow.alias("bad_row"),
         (F.coalesce(reduce(lambda a, b: a | b, broken), F.lit(False)) if broken else F.lit(False)).alias("bad_text"),
+        # Text in a text table, numbers in a typed one; several kinds of columns meet as text.
+        *[(typed(i) if layout.format == "csv" else text(i)).alias(f"v{i}") for i, _ in layout.variables],
     )
+    if layout.variables:
+        rows = _unpivoted(rows, layout)
     rows = type_measures(rows)
     attributes = sources.select("file_path", "part", "spec_id", *[F.col(f"`{c}`").alias(n) for n, c in carry.items()])
     small = len(paths) <= BROADCAST_ROWS and attributes.count() <= BROADCAST_ROWS
@@ -305,6 +344,15 @@ def scan_group(
         "spec_id", *carry, *[c for c in rows.columns if c != "file_path"])
 
 
+def _unpivoted(rows: DataFrame, layout: Layout) -> DataFrame:
+    """A row per variable column. Their place counts where two columns have one variable."""
+    pairs = F.array(*[F.struct(F.lit(name).alias("original_variable"), F.col(f"v{i}").alias("value")) for i, name in layout.variables])
+    rest = [c for c in rows.columns if c not in ("value", *(f"v{i}" for i, _ in layout.variables))]
+    long = rows.select(*rest, F.posexplode(pairs).alias("nth", "pair"))
+    place = F.shiftleft("row", len(layout.variables).bit_length()) + F.col("nth")
+    return long.withColumn("row", place).select(*rest, "pair.*")
+
+
 def scan_all(
     spark: SparkSession, plan: ScanPlan, carry: Mapping[str, str], style: ReadStyle = ReadStyle()
 ) -> tuple[list[tuple[Layout, DataFrame]], list[str], DataFrame]:

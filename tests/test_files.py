@@ -483,3 +483,27 @@ def test_per_model_runs_a_job_per_set_of_years(spark, tmp_path):
         years = [str((2020 if i < 100 else 2030) + i % 2)]
         assert back.columns == ["model", "scenario", "region", "variable", "unit", *years]
         assert [r["region"] for r in back.collect()] == sorted(f"r{i + 300 * k}" for k in range(4))
+
+
+def test_variables_as_columns(spark, tmp_path, dictionaries, rows):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    put(tmp_path, "M/wide.csv", "scenario,region,Unit,year,Prod|Steel,note, Prod|Alu ,Prod|Steel.x\nbase,AT,kt,2020,1,a,2,7\nbase,DE,t,2030,x,b,NA,7\n,,,,,,,\n")
+    put(tmp_path, "M/none.csv", "scenario,region,unit,year,a,b\nbase,AT,t,2020,1,2\n")
+    put(tmp_path, "M/no year.csv", "scenario,region,unit,Prod|Steel\nbase,AT,t,1\n")
+    table = pa.table({"scenario": ["base"], "region": ["FR"], "unit": ["t"], "year": [2020], "Prod|Steel": [3], "Prod|Alu": [1.5]})
+    pq.write_table(table, tmp_path / "M/typed.parquet")
+    specs = [("M", n, "M", "", "", " ") for n in ("wide.csv", "none.csv", "no year.csv", "typed.parquet")]
+    run = harmonize(spark, str(tmp_path), overview(spark, *specs), dictionaries())
+    assert rows(run.long.select("region", "variable", "unit", "year", "value")) == [
+        ("Austria", "Production|Aluminium", "Mt", 2020, 0.002), ("Austria", "Production|Steel", "Mt", 2020, 0.001),
+        ("France", "Production|Aluminium", "t", 2020, 1.5), ("France", "Production|Steel", "t", 2020, 3.0),
+        ("Germany", "Production|Aluminium", "t", 2030, None), ("Germany", "Production|Steel", "t", 2030, None)]
+    said = {(r["file"], r["stage"], r["n"], r["message"]) for r in run.issues.filter("stage in ('Variables', 'values') or severity = 'error'").collect()}
+    assert said == {
+        ("wide.csv", "Variables", 2, "columns that are no variables of the dictionary: 'note', 'Prod|Steel.x'"),
+        ("wide.csv", "values", 1, "1 values are no numbers and count as missing"),
+        ("none.csv", "columns", None, "no column is a variable of the dictionary, source skipped"),
+        ("no year.csv", "columns", None, "no column for year, source skipped"),
+    }

@@ -118,6 +118,17 @@ def harmonize_sheets(spark, sf):
     return harmonize(spark, folder, specs(tables.coalesce(1)), v.dictionaries(spark, sf)).long
 
 
+def harmonize_columns(spark, sf):
+    """Variables as columns: a file per model and two variables beside a column that is none."""
+    folder, rows = new_folder(spark, "columns"), delivered(spark, sf)
+    wide = rows.select("ord", "source_model", "scen", "AREA", F.col("VAL").alias("click|0"), "note", (2 * F.col("VAL")).alias("view|1"), "Unit", "TIME")
+    wide.repartitionByRange(4, "ord").sortWithinPartitions("ord").drop("ord").write.partitionBy("source_model").option("header", "true").csv(folder)
+    files = list_files(spark, folder).filter(F.col("path").endswith(".csv")).orderBy("path").select(
+        F.substring_index("path", "/", 1).alias("location"), F.substring_index("path", "/", -1).alias("name"),
+        F.regexp_extract("path", "source_model=([^/]*)", 1).alias("model"), F.lit("").alias("sheet"))
+    return harmonize(spark, folder, specs(files).withColumn("Variable column", F.lit("")), v.dictionaries(spark, sf)).long
+
+
 def _latin(spark: SparkSession, sf: str) -> str:
     """Results whose scenarios begin with a letter beyond ASCII, in Latin-1."""
     folder = new_folder(spark, "latin")
@@ -267,7 +278,7 @@ def legacy_report(spark, sf):
 
 JOBS = {
     f.__name__: f for f in (
-        harmonize_many_files, harmonize_many_files_found, catalog_layouts, written_catalog, harmonize_parts, harmonize_sheets, harmonize_encoding,
+        harmonize_many_files, harmonize_many_files_found, catalog_layouts, written_catalog, harmonize_parts, harmonize_sheets, harmonize_columns, harmonize_encoding,
         harmonize_wrong_encoding, quarantined_rows, written_long, written_wide, written_per_model, written_report, written_codelist,
         written_regions, legacy_files, legacy_report,
     )

@@ -285,6 +285,10 @@ SQL |= {
     "written_long": RESOLVED_ROWS,
     "written_wide": SQL["harmonize_wide"],
     "harmonize_sheets": RESOLVED_ROWS,
+    "harmonize_columns": with_(RESULTS_SQL.replace("r AS (", "r0 AS (", 1), """r AS (
+        SELECT * REPLACE (2 * ord + j AS ord, CASE j WHEN 0 THEN 'click|0' ELSE 'view|1' END AS original_variable, value * (1 + j) AS value)
+        FROM (SELECT r0.*, j FROM r0, (VALUES (0), (1)) t(j)))""".replace("SELECT *", "SELECT * EXCLUDE (j)", 1), DICTIONARIES_SQL, MAPPED_SQL, RESOLVED_SQL,
+        select="SELECT * FROM resolved"),
     "harmonize_many_files_found": with_(RESULTS_SQL, BUCKETED_SQL, select="""
         SELECT source_model, 'source' AS stage, 'info' AS severity, NULL AS message, count(*) AS n FROM files GROUP BY source_model
         UNION ALL
