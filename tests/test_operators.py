@@ -331,3 +331,46 @@ def test_withheld_scopes_plan_one_pivot(spark, rows):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("HashAggregate") <= 2 and "SortMergeJoin" not in plan
     assert pivot_years(df.filter("source_model <> 'm3'")).count() == 48
+
+
+def test_needed_letters_of_patterns():
+    from scenweave.operators.regions import needed_grams
+
+    assert needed_grams(r"^viet.?nam") == {"vie"}
+    assert needed_grams(r"korea|\bdprk\b") == {"kor", "dpr"}
+    assert needed_grams(r"^(?=.*rep).*congo.*$") == {"con"}
+    assert needed_grams(r"united.?states|u\.s") == {"uni", "u.s"}
+    assert needed_grams(r"us|usa") is None and needed_grams(r"[ab]+") is None and needed_grams("") is None
+    assert needed_grams(r"(north|south) korea") == {" ko"}
+    assert needed_grams(r"abcd{0,2}xy") == {"abc"} and needed_grams(r"abc?xyz") == {"xyz"} and needed_grams(r"ab+cde") == {"cde"}
+    assert needed_grams(r"cura[cç]ao") == {"cur"} and needed_grams("\u00e5land") == {"lan"}
+
+
+def test_indexed_patterns_equal_all_patterns(spark, rows):
+    import random
+
+    from scenweave.operators.regions import FEW_PATTERNS
+
+    rnd = random.Random(3)
+    stems = ["nigeria", "niger", "guinea", "papua new guinea", "equatorial guinea", "korea", "dominica", "dominican republic", "congo", "mali", "somalia",
+             "oman", "romania", "india", "indiana", "samoa", "american samoa", "sudan", "south sudan", "virgin islands", "\u00e5land", "cote d'ivoire"]
+    patterns = {rf"^{w}$" if i % 3 == 0 else rf"\b{w}\b" if i % 3 == 1 else w: w.title() for i, w in enumerate(stems)}
+    patterns |= {r"dem.*congo|drc": "DR Congo", r"^u\.?s\.?a?\.?$": "United States", r"(north|dem).*korea": "North Korea", r"niger(?!ia)": "Niger (only)"}
+    assert len(patterns) > FEW_PATTERNS
+    names = [w for w in stems] + [f"{rnd.choice(['the', 'Rep. of', 'old', ''])} {w.upper() if rnd.random() < 0.3 else w}{rnd.choice(['', ' land', 's'])}"
+                                  for w in stems for _ in range(6)] + ["U.S.A.", "us", "usa", "", None, "x", "DRC", "dem rep congo", "\u00c5land"]
+    df = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "i int, source_region string")
+    countries = spark.createDataFrame([("ZZ", "Nowhere")], "source string, target string")
+    few = {}
+    for low in range(0, len(patterns), 10):
+        part = dict(list(patterns.items())[low : low + 10])
+        for n, t in rows(op.normalize_regions(df, countries, patterns=part, custom={}).select("i", "target_region")):
+            hits = {v for p, v in part.items() if names[n] is not None and names[n].strip() and re_fits(spark, p, names[n].strip())}
+            assert t == (hits.pop() if len(hits) == 1 else None)
+            few.setdefault(n, set()).update(v for p, v in part.items() if names[n] is not None and names[n].strip() and re_fits(spark, p, names[n].strip()))
+    got = dict(rows(op.normalize_regions(df, countries, patterns=patterns, custom={}).select("i", "target_region")))
+    assert got == {n: next(iter(h)) if len(h) == 1 else None for n, h in few.items()} and sum(v is not None for v in got.values()) > 40
+
+
+def re_fits(spark, pattern, name):
+    return spark._jvm.java.util.regex.Pattern.compile(f"(?i){pattern}").matcher(name).find()

@@ -246,6 +246,9 @@ SQL = {
         SELECT doc_id, md5(regexp_replace(text, '{SPACE}', '', 'g')) AS stripped,
                md5(replace(text, chr(10), ', ')) AS one_line,
                round(100.0::DOUBLE * n_chars / (n_chars + doc_id), 1) AS share FROM documents""",
+    "normalize_regions_indexed": """
+        SELECT c_custkey AS i, CASE WHEN k IN (7, 8, 9) OR k = 12 THEN NULL WHEN k BETWEEN 1 AND 39 THEN 'Customer ' || k END AS target_region
+        FROM (SELECT c_custkey, CAST(regexp_extract(c_name, '#0*([0-9]+)$', 1) AS BIGINT) AS k FROM customer)""",
     "harmonize_mapped": with_(*MAPPED_ALL, select="SELECT * FROM m"),
     "harmonize_e2e": with_(*MAPPED_ALL, RESOLVED_SQL, select="SELECT * FROM resolved"),
     "harmonize_files": with_(*MAPPED_ALL, RESOLVED_SQL, select="SELECT * FROM resolved"),

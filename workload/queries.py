@@ -312,6 +312,16 @@ def normalize_regions_passthrough(spark, sf):
     return _normalized(spark, sf, on_miss="passthrough")
 
 
+#: A pattern per customer number below a bound: more than fit into one projection, some of them ambiguous.
+MANY_PATTERNS = {rf"^customer#0*{i}$": f"Customer {i}" for i in range(1, 40)} | {r"^customer#0*(7|8|9)$": "Seven to nine", r"[a-z]+#0*12$": "Twelve"}
+
+
+def normalize_regions_indexed(spark, sf):
+    """Names against many patterns, by the letters that these need."""
+    names = v.table(spark, sf, "customer").select(F.col("c_name").alias("source_region"), F.col("c_custkey").alias("i"))
+    return op.normalize_regions(names, countries(spark, sf), patterns=MANY_PATTERNS).select("i", "target_region")
+
+
 def country_codes(spark, sf):
     return countries(spark, sf)
 
@@ -430,7 +440,7 @@ ALL: dict[str, Query] = {
         mark_duplicates, duplicate_stats, duplicate_counters, resolve_duplicates,
         resolve_duplicates_nulls, resolve_duplicates_prefer_value,
         pivot_strict, pivot_quarantine, pivot_sum, pivot_sum_lineitem, assert_unique,
-        country_codes, normalize_regions, normalize_regions_passthrough, region_coverage, region_misses,
+        country_codes, normalize_regions, normalize_regions_passthrough, normalize_regions_indexed, region_coverage, region_misses,
         derive_source_models, locate_files, spec_counts, codelist_lines, text_functions,
         harmonize_mapped, harmonize_e2e, harmonize_wide, harmonize_duplicate_report, harmonize_legacy_e2e,
         harmonize_files, harmonize_files_misses, catalog,
