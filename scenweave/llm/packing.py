@@ -28,6 +28,9 @@ from .common import once_per_worker, parts_for, slices, stage
 WINDOW = 4096
 END_ID = 2
 PIECES_EACH = 4_000
+#: Texts encoded at a time, and what a worker's table of words may hold: some 150 MB of it, whatever the data.
+SLICE_BYTES = 4_000_000
+MOST_WORDS, MOST_BYTES = 1_000_000, 24_000_000
 
 PIECES = "doc_id long, start long, length long, tokens binary, doc_tokens long"
 
@@ -36,20 +39,36 @@ class WordIds:
     """Ids of texts, word by word: what lies between ASCII white space is encoded once and then looked up.
 
     The tokenizer drops white space and no rule of it looks across any, so a text's ids are those of its words in order. New
-    words are encoded many at a time, a token belonging to the word its place lies in. The table holds ``most`` words and then
-    starts anew.
+    words are encoded many at a time, a token belonging to the word its place lies in. When the table holds more than ``most``
+    words, or ``MOST_BYTES`` of them, its most frequent half stays.
     """
 
-    def __init__(self, path: str, most: int = 2_500_000) -> None:
+    def __init__(self, path: str, most: int = MOST_WORDS) -> None:
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.encoder, self.most = Tokenizer.from_file(path), most
-        self.clear()
-
-    def clear(self) -> None:
+        self.empty()
+
+    def forget(self) -> None:
+        """Keep the most frequent half of the words, none if these are too long. What was seen long ago counts half."""
+        half = min(self.most, len(self.number)) // 2
+        kept = np.sort(np.argpartition(-self.seen, half)[:half])
+        count = self.count[kept]
+        starts = np.cumsum(count) - count
+        self.ids = self.ids[np.repeat(self.first[kept] - starts, count) + np.arange(count.sum())]
+        self.first, self.count, self.seen = starts.astype(np.int32), count, self.seen[kept] // 2
+        new = np.full(len(self.number), -1)
+        new[kept] = np.arange(len(kept))
+        self.number = {w: i for w, i in zip(self.number, new.tolist(), strict=True) if i >= 0}
+        self.bytes = sum(map(len, self.number))
+        if self.bytes > MOST_BYTES // 2:
+            self.empty()
+
+    def empty(self) -> None:
         self.number: dict[bytes, int] = {}
-        self.first, self.count, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4")
+        self.first, self.count, self.ids = np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, "<u4")
+        self.seen, self.bytes = np.zeros(0, np.int32), 0
 
     def learn(self, words: list[bytes], together: int = 2000) -> None:
         counts, ids = [], []
@@ -62,8 +81,9 @@ class WordIds:
             ids.append(np.array(coded.ids, dtype="<u4"))
         known, count = len(self.number), np.concatenate(counts)
         self.number.update(zip(words, range(known, known + len(words))))
-        self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(count) - count])
-        self.count, self.ids = np.concatenate([self.count, count]), np.concatenate([self.ids, *ids])
+        self.first = np.concatenate([self.first, (len(self.ids) + np.cumsum(count) - count).astype(np.int32)])
+        self.count, self.ids = np.concatenate([self.count, count.astype(np.int32)]), np.concatenate([self.ids, *ids])
+        self.seen, self.bytes = np.concatenate([self.seen, np.zeros(len(words), np.int32)]), self.bytes + sum(map(len, words))
 
     def __call__(self, texts: pa.Array, end_id: int) -> list[np.ndarray]:
         """Ids of each text, followed by ``end_id``."""
@@ -71,16 +91,18 @@ class WordIds:
         words = pc.dictionary_encode(split.flatten())
         bytes_ = words.dictionary.cast(pa.binary()).to_pylist()
         new = [w for w in bytes_ if w not in self.number]
-        if len(self.number) + len(new) > self.most:
-            self.clear()
-            new = bytes_
         if new:
             self.learn(new)
-        numbers = np.fromiter(map(self.number.__getitem__, bytes_), np.int64, len(bytes_))[words.indices.to_numpy()]
+        indices = words.indices.to_numpy()
+        of_words = np.fromiter(map(self.number.__getitem__, bytes_), np.int64, len(bytes_))
+        self.seen[of_words] += np.bincount(indices, minlength=len(bytes_)).astype(np.int32)
+        numbers = of_words[indices]
         count = self.count[numbers]
-        ends = np.concatenate([[0], np.cumsum(count)])
+        ends = np.concatenate([[0], np.cumsum(count, dtype=np.int64)])
         flat = self.ids[np.repeat(self.first[numbers] - ends[:-1], count) + np.arange(ends[-1])]
         bounds = ends[np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy())])]
+        if len(self.number) > self.most or self.bytes > MOST_BYTES:
+            self.forget()
         end = np.array([end_id], dtype="<u4")
         return [np.concatenate([flat[a:b], end]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
@@ -93,7 +115,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id:
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
         for batch in batches:
             texts = pc.fill_null(batch.column(1), "")
-            for low, n in slices(pc.binary_length(texts).to_numpy(), 8_000_000):
+            for low, n in slices(pc.binary_length(texts).to_numpy(), SLICE_BYTES):
                 rows: list[list] = [[], [], [], [], []]
                 for doc, ids in zip(batch.column(0).slice(low, n).to_pylist(), coder(texts.slice(low, n), end_id), strict=True):
                     for start in range(0, len(ids), window):
