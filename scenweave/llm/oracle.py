@@ -31,7 +31,9 @@ _ASSIGN = (
     "(" + "|".join(map(_either, ("password", "passwd", "secret", "token"))) + "|" + _either("api") + "_?" + _either("key")
     + r""")[""'']?\x20*[:=]\x20*[""'']?([A-Za-z0-9+/_.=-]+)""".replace('""', '"')
 )
-_ENDPOINT = r"(?:^|[^A-Za-z0-9.-])((?:https?://)?[a-z0-9.-]{1,200}\.amazonaws\.com(?:/[A-Za-z0-9._/-]*)?)"
+_ENDPOINT = r"(?:^|[^A-Za-z0-9.-])((?i:(?:https?://)?[a-z0-9.-]+\.amazonaws\.com)(?:/[A-Za-z0-9._/-]*)?)"
+#: A maximal run and the mark behind it, which rules it out.
+_RUN = "[A-Za-z0-9+/]+=?"
 
 
 def _hits(kind: int, pattern: str, group: int) -> str:
@@ -42,10 +44,11 @@ def _hits(kind: int, pattern: str, group: int) -> str:
   FROM d WHERE regexp_matches(t, '{pattern}')"""
 
 
-OP2 = f"""
-WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+def _op2(documents: str) -> str:
+    return f"""
+WITH d AS ({documents}),
 hits AS ({" UNION ALL ".join([
-    _hits(0, _ASSIGN, 2), _hits(1, "AKIA[A-Z0-9]+", 0), _hits(2, "[0-9a-f]+", 0), _hits(3, "[A-Za-z0-9+/=]+", 0), _hits(4, _ENDPOINT, 1)])}),
+        _hits(0, _ASSIGN, 2), _hits(1, "AKIA[A-Z0-9]+", 0), _hits(2, "[0-9a-f]+", 0), _hits(3, _RUN, 0), _hits(4, _ENDPOINT, 1)])}),
 placed AS (
   SELECT *, (sum(length(piece) + length(hit)) OVER (PARTITION BY doc_id, k ORDER BY i))::BIGINT AS e FROM hits),
 spans AS (
@@ -56,8 +59,9 @@ spans AS (
 kept AS (
   SELECT * FROM spans WHERE k < 3 UNION ALL
   SELECT * FROM spans w WHERE k >= 3 AND EXISTS (
-    SELECT 1 FROM spans a WHERE a.doc_id = w.doc_id AND a.k = 1
-      AND ((a.s <= w.s AND w.s - a.e <= 300) OR (a.s >= w.s AND a.s - w.e <= 300)))),
+    SELECT 1 FROM spans a WHERE a.doc_id = w.doc_id AND (
+      (a.k = 1 AND ((a.s <= w.s AND w.s - a.e <= 300) OR (a.s >= w.s AND a.s - w.e <= 300)))
+      OR (a.k = 7 - w.k AND ((a.e <= w.s AND w.s - a.e <= 300) OR (a.s >= w.e AND a.s - w.e <= 300)))))),
 named AS (
   SELECT *, ['assign', 'access', 'hex', 'secret', 'endpoint'][k + 1] || ':' || s || ':' || e AS name FROM kept),
 each AS (
@@ -69,6 +73,17 @@ SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_a
 FROM d LEFT JOIN each ON d.doc_id = each.doc_id
 """
 
+
+OP2 = _op2("SELECT doc_id, coalesce(text, '') AS t FROM documents")
+#: The same over texts with parts of credentials at distances that depend on the document.
+PLANTED_SECRETS = _op2("""
+  SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN '' ELSE 'é' || repeat('pad ', (doc_id % 90)::INTEGER) END
+    || CASE WHEN doc_id % 2 = 0 THEN 'AKIA' || upper(substr(md5(doc_id::VARCHAR), 1, 16)) ELSE '' END || repeat(' 漢', (doc_id % 160)::INTEGER)
+    || CASE WHEN doc_id % 5 < 3 THEN ' aws_secret_access_key=aB' || substr(md5(doc_id::VARCHAR) || md5(doc_id || 'x'), 1, 37) || '/ ' ELSE ' ' END
+    || repeat('filler', (doc_id % 70)::INTEGER)
+    || CASE WHEN doc_id % 7 < 4 THEN ' https://Box' || doc_id || '.S3.amazonaws.com/a ' ELSE '' END || coalesce(text, '') AS t
+  FROM documents""")
+
 OP3 = f"""
 WITH sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), {_WORDS})) AS size,
@@ -143,4 +158,4 @@ WINDOW w AS (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.ve
 QUALIFY row_number() OVER w <= 10
 """
 
-SQL: dict[str, str] = {"op1_warc_archive": OP1, "op2_secret_links": OP2, "op3_source_mix": OP3, "op7_ngram_components": OP7, "op12_hard_negatives": OP12}
+SQL: dict[str, str] = {"op1_warc_archive": OP1, "op2_secret_links": OP2, "secret_links_planted": PLANTED_SECRETS, "op3_source_mix": OP3, "op7_ngram_components": OP7, "op12_hard_negatives": OP12}

@@ -28,6 +28,21 @@ def op2_secret_links(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.digests(secrets.find_secrets(table(spark, folder, "documents")))
 
 
+def secret_links_planted(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets of all documents with parts of credentials put before their texts, at distances that depend on the document."""
+    doc, name = F.col("doc_id"), F.col("doc_id").cast("string")
+    times = lambda word, n: F.repeat(F.lit(word), F.pmod(doc, F.lit(n)).cast("int"))
+    secret = F.substring(F.concat(F.md5(name), F.md5(F.concat(name, F.lit("x")))), 1, 37)
+    parts = [
+        F.when(doc % 3 == 0, "").otherwise(F.concat(F.lit("é"), times("pad ", 90))),
+        F.when(doc % 2 == 0, F.concat(F.lit("AKIA"), F.upper(F.substring(F.md5(name), 1, 16)))).otherwise(""), times(" 漢", 160),
+        F.when(doc % 5 < 3, F.concat(F.lit(" aws_secret_access_key=aB"), secret, F.lit("/ "))).otherwise(" "), times("filler", 70),
+        F.when(doc % 7 < 4, F.concat(F.lit(" https://Box"), name, F.lit(".S3.amazonaws.com/a "))).otherwise(""),
+    ]
+    docs = table(spark, folder, "documents").withColumn("text", F.concat(*parts, F.coalesce("text", F.lit(""))))
+    return secrets.digests(secrets.find_secrets(docs))
+
+
 def op3_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
@@ -88,7 +103,7 @@ def op13_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f for f in (
-        op1_warc_archive, op2_secret_links, op3_source_mix, op4_page_languages, op5_permutation_index, op6_divergence_rules,
+        op1_warc_archive, op2_secret_links, secret_links_planted, op3_source_mix, op4_page_languages, op5_permutation_index, op6_divergence_rules,
         op7_ngram_components, op8_best_fit_packing, op9_bounded_ring, op10_preference_scores, op11_periodic_runs,
         op12_hard_negatives, op13_url_filter,
     )
