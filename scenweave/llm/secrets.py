@@ -35,6 +35,31 @@ KINDS = ("assign", "access", "hex", "secret", "endpoint")
 SCOPE = 300
 
 
+def before_each(values: Column, combine) -> Column:
+    """For each whole number of an array what those before it come to, by ``combine`` (sum, greatest) from 0 on.
+
+    An array that grows entry by entry is copied each time. Here entries are taken in about as many parts as a part has
+    entries, so n of them cost n times the square root of n copies at most.
+    """
+    def heads(part: Column, start: Column) -> Column:
+        return F.aggregate(
+            part, F.struct(start.alias("at"), F.array().cast("array<int>").alias("out")),
+            lambda acc, x: F.struct(combine(acc["at"], x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")), lambda acc: acc["out"])
+
+    def parts(all_: Column) -> Column:
+        each = F.ceil(F.sqrt(F.size(all_))).cast("int")
+        at = F.sequence(F.lit(0), F.ceil(F.size(all_) / F.greatest(each, F.lit(1))).cast("int") - 1)
+        return F.when(F.size(all_) > 0, F.transform(at, lambda i: F.slice(all_, i * each + 1, each))).otherwise(F.array().cast("array<array<int>>"))
+
+    def joined(cut: Column) -> Column:
+        starts = heads(F.transform(cut, lambda part: F.aggregate(part, F.lit(0), combine)), F.lit(0))
+        return F.flatten(F.zip_with(cut, starts, heads))
+
+    # Bound to variables, so that each is worked out once.
+    bound = F.transform(F.array(values), lambda all_: F.get(F.transform(F.array(parts(all_)), joined), 0))
+    return F.get(bound, 0)
+
+
 def found(
     text: Column, pattern: str, kind: str, group: int = 0, at_least: int = 0, holds: tuple[str, ...] = (), fold: bool = False,
 ) -> Column:
@@ -46,16 +71,11 @@ def found(
     k = F.lit(KINDS.index(kind))
     regex = F.lit(pattern)
     pieces, hits = F.split(text, pattern, -1), F.regexp_extract_all(text, regex, F.lit(0))
+    # One number more than there are matches: the last piece has none behind it.
     lengths = F.zip_with(F.transform(pieces, F.char_length), F.transform(hits, F.char_length), lambda p, h: F.struct(p.alias("p"), h.alias("h")))
-    ends = F.aggregate(
-        F.slice(lengths, 1, F.size(hits)),
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<s:int,e:int,k:int>>").alias("out")),
-        lambda acc, x: F.struct(
-            (acc["at"] + x["p"] + x["h"]).alias("at"),
-            F.concat(acc["out"], F.array(F.struct((acc["at"] + x["p"]).alias("s"), (acc["at"] + x["p"] + x["h"]).alias("e"), k.alias("k")))).alias("out"),
-        ),
-        lambda acc: acc["out"],
-    )
+    ends = F.get(F.transform(F.array(F.filter(lengths, lambda x: x["h"].isNotNull())), lambda known: F.zip_with(
+        known, before_each(F.transform(known, lambda x: x["p"] + x["h"]), lambda a, x: a + x),
+        lambda x, at: F.struct((at + x["p"]).alias("s"), (at + x["p"] + x["h"]).alias("e"), k.alias("k")))), 0)
     if at_least:
         value = F.regexp_extract_all(text, regex, F.lit(group))
         ends = F.transform(
@@ -160,15 +180,14 @@ def redact(docs: DataFrame, mark: str = "[secret]", scope: int = SCOPE) -> DataF
         F.col("doc_id").alias("_id"), F.col("text_md5").alias("_key"), F.col("spans").alias("_spans")).distinct()
     found_ = stage(found_, "spans")
     joined = with_md5.join(found_, with_md5["doc_id"].eqNullSafe(found_["_id"]) & (F.col("_md5") == F.col("_key")), "left")
-    clean = F.aggregate(
-        "_spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda acc, x: F.struct(
-            F.greatest(acc["at"], x["e"]).alias("at"),
-            F.when(x["s"] < acc["at"], acc["out"]).otherwise(
-                F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, x["s"] - acc["at"]), F.lit(mark))).alias("out"),
-        ),
-        lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.char_length("text"))),
-    )
+    # Fixed width makes a piece's place its position times four; a mark of that width keeps one at its beginning.
+    wide, bom = F.encode(F.col("text"), "UTF-32"), F.unhex(F.lit("0000FEFF"))
+    piece = lambda of, at, to: F.decode(F.concat(bom, F.substring(of, 4 * at + 1, 4 * (to - at))), "UTF-32")
+    until = before_each(F.transform("_spans", lambda x: x["e"]), lambda a, x: F.greatest(a, x))
+    last = F.array_max(F.transform("_spans", lambda x: x["e"]))
+    clean = F.get(F.transform(F.array(wide), lambda of: F.concat(
+        F.array_join(F.zip_with("_spans", until, lambda x, at: F.when(x["s"] >= at, F.concat(piece(of, at, x["s"]), F.lit(mark))).otherwise("")), ""),
+        piece(of, last, F.char_length("text")))), 0)
     out = joined.withColumn("text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(clean))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast("long")))
