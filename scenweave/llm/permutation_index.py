@@ -10,8 +10,8 @@ Vectors are dealt by hash to blocks of about ``BLOCK`` rows, each with its own i
 ``QUERIES``; each pair of both is one task's work, bounded however many rows are alike, and yields the nearest of the block. Equal
 scores go to the smaller id; at the edge of the candidates too the smaller ids come first, so copies of one vector are found in order.
 
-Null handling: vectors that are NULL, zero, without components, of another length than most, or hold NULL or non-finite
-components take no part; nor do rows without id. Rows that repeat an id are searched as they come, a query never finds its own id.
+Null handling: vectors that are NULL, zero, without components, or hold NULL or non-finite components take no part; nor do rows
+without id. Only vectors of one length have an inner product, so each length has pivots and blocks of its own. Rows that repeat an id are searched as they come, a query never finds its own id.
 """
 
 from __future__ import annotations
@@ -69,9 +69,10 @@ class InvertedFiles:
         return gain
 
 
-def _search(k: int, pivots: np.ndarray, prefix: int, share: float, at_least: int):
+def _search(k: int, pivots_of: dict[int, np.ndarray], most: int, share: float, at_least: int):
     def search(key: tuple, vectors: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        out = []
+        out, pivots = [], pivots_of[key[0]]
+        prefix = min(most, len(pivots))
         if len(vectors) and len(queries):
             vectors = vectors.sort_values("vec_id", kind="stable", ignore_index=True)
             ids, x = vectors["vec_id"].to_numpy(), np.array(vectors["embedding"].tolist(), dtype=np.float64)
@@ -104,23 +105,35 @@ def nearest(
     """The ``k`` nearest of ``vectors`` found for each of ``queries`` (both ``vec_id, embedding``), by largest inner product:
     ``query_id, rank, vec_id, score``."""
     spark = vectors.sparkSession
-    whole = stage(vectors.filter(usable(F.col("embedding")) & F.col("vec_id").isNotNull()).select("vec_id", "embedding"), "vectors")
-    asked = stage(queries.filter(usable(F.col("embedding")) & F.col("vec_id").isNotNull()).select("vec_id", "embedding"), "queries")
-    common = whole.groupBy(F.size("embedding").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    if common is None:
+    of_length = lambda df: df.filter(usable(F.col("embedding")) & F.col("vec_id").isNotNull()).select(
+        "vec_id", "embedding", F.size("embedding").alias("length"))
+    whole, asked = stage(of_length(vectors), "vectors"), stage(of_length(queries), "queries")
+    count = lambda df: {r["length"]: r["count"] for r in df.groupBy("length").count().collect()}
+    n_asked = count(asked)
+    n_rows = {length: n for length, n in count(whole).items() if length in n_asked}
+    if not n_rows:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    same = F.size("embedding") == common["d"]
-    whole, asked = whole.filter(same), asked.filter(same)
-    # The sample: at most ``n_pivots`` distinct vectors, whatever the size of the table.
-    sample = whole.select("embedding").withColumn("h", F.xxhash64("embedding")).dropDuplicates(["h"]).orderBy("h").limit(n_pivots).collect()
-    pivots = np.array([r["embedding"] for r in sample], dtype=np.float64)
-    n_blocks, n_sets = parts_for(common["count"], block), parts_for(asked.count(), each)
-    deal = lambda n: F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = whole.withColumns({"block": deal(n_blocks), "part": F.lit(0)}).withColumn("part", every(n_sets))
-    right = asked.withColumn("part", deal(n_sets)).withColumn("block", every(n_blocks))
-    found = left.groupBy("block", "part").cogroup(right.groupBy("block", "part")).applyInPandas(
-        _search(k, pivots, min(prefix, len(pivots)), share, at_least), "query_id long, vec_id long, score double"
+    # The sample: at most ``n_pivots`` distinct vectors of each length, whatever the size of the table.
+    hashed = whole.filter(F.col("length").isin(sorted(n_rows))).withColumn("h", F.xxhash64("embedding")).dropDuplicates(["length", "h"])
+    first = hashed.withColumn("r", F.row_number().over(W.partitionBy("length").orderBy("h"))).filter(F.col("r") <= n_pivots)
+    sample: dict[int, list] = {}
+    for r in first.orderBy("length", "h").select("length", "embedding").collect():
+        sample.setdefault(r["length"], []).append(r["embedding"])
+    pivots = {length: np.array(some, dtype=np.float64) for length, some in sample.items()}
+
+    def per_length(counts: dict[int, int], each: int) -> Column:
+        table = F.create_map(*[F.lit(x) for length in sorted(n_rows) for x in (length, parts_for(counts[length], each))])
+        return F.try_element_at(table, F.col("length"))
+
+    n_blocks, n_sets = per_length(n_rows, block), per_length(n_asked, each)
+    deal = lambda n: F.pmod(F.xxhash64("vec_id", "embedding"), n).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    known = F.col("length").isin(sorted(n_rows))
+    left = whole.filter(known).withColumn("block", deal(n_blocks)).withColumn("part", every(n_sets))
+    right = asked.filter(known).withColumn("part", deal(n_sets)).withColumn("block", every(n_blocks))
+    keys = ["length", "block", "part"]
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
+        _search(k, pivots, prefix, share, at_least), "query_id long, vec_id long, score double"
     )
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
