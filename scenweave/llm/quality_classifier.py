@@ -119,11 +119,11 @@ def learn(docs: DataFrame, labels: DataFrame, target: str = "quality", most: int
             )
 
     found = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "y", "text")
-    rows = found.mapInArrow(measure, "doc_id long, y int, x array<double>").toArrow().to_pandas()
+    # An id that repeats counts once, and is reduced before anything reaches the driver, however many rows have it.
+    each = found.mapInArrow(measure, "doc_id long, y int, x array<double>").groupBy("doc_id").agg(F.min("y").alias("y"), F.min("x").alias("x"))
+    rows = each.toArrow().to_pandas().sort_values("doc_id")
     if rows.empty:
         return None
-    # A text repeated under one id would count twice.
-    rows = rows.assign(key=rows["x"].map(tuple)).sort_values(["doc_id", "key"]).drop_duplicates("doc_id")
     return fit(np.array(rows["x"].tolist()), rows["y"].to_numpy())
 
 
