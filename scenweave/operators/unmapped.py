@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -15,6 +15,8 @@ def unmapped(
     scope: Sequence[str] = (),
     order: Sequence[str] = (),
     unit_label: str = "Units",
+    flags: Mapping[str, Column] | None = None,
+    among: Column | None = None,
 ) -> DataFrame:
     """Keys without translation, for any number of looked-up columns in one pass.
 
@@ -23,6 +25,9 @@ def unmapped(
     distinct units and of rows, and the position of the first row. Rows without
     a miss never reach the shuffle, and the others are combined before it, so
     its size follows the missing keys.
+
+    ``among`` restricts the misses to some rows. ``flags`` are counted in the
+    same pass: rows where one holds are counted under its name, without a key.
     """
     scope, order = list(scope), list(order)
     has_unit = unit in df.columns
@@ -30,7 +35,7 @@ def unmapped(
         F.array(
             *[
                 F.when(
-                    F.col(target).isNull(),
+                    F.col(target).isNull() if among is None else among & F.col(target).isNull(),
                     F.struct(
                         F.lit(label).alias("label"),
                         F.col(source).cast("string").alias("key"),
@@ -39,12 +44,18 @@ def unmapped(
                     ),
                 )
                 for label, (source, target) in targets.items()
-            ]
+            ],
+            *[
+                F.when(flag, F.struct(F.lit(name).alias("label"), F.lit(None).cast("string").alias("key"), F.lit(None).cast("string").alias("unit")))
+                for name, flag in (flags or {}).items()
+            ],
         )
     )
     anything = F.lit(False)
     for _, target in targets.values():
         anything = anything | F.col(target).isNull()
+    for flag in (flags or {}).values():
+        anything = anything | flag
     pairs = (
         df.filter(anything)
         .select(*scope, *order, F.explode(misses).alias("miss"))

@@ -167,17 +167,26 @@ def duplicate_issues(counters: DataFrame) -> DataFrame:
     )
 
 
-def source_issues(looked_up: DataFrame, specs: DataFrame) -> DataFrame:
-    """Per source that was read: cells that did not convert, no rows left, model not in the dictionary."""
+#: Kinds of rows that are counted per source.
+ROW_KINDS = ("kept", "bad_row", "bad_value", "bad_year", "bad_text")
+
+
+def counted_rows(looked_up: DataFrame, scope: Sequence[str], order: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Missing keys, and rows of each of ``ROW_KINDS`` per source, from one pass over the looked-up rows, written once.
+
+    Keys are missed by all good rows, also by those that leave.
+    """
     good = ~F.col("bad_row")
     kept = good & F.col("_variable").isNotNull() & F.col("_region").isNotNull() & F.col("_scenario").isNotNull()
-    counts = looked_up.groupBy("spec_id").agg(
-        F.count_if(kept).alias("kept"),
-        F.count_if("bad_row").alias("bad_row"),
-        F.count_if(good & F.col("bad_value")).alias("bad_value"),
-        F.count_if(good & F.col("bad_year")).alias("bad_year"),
-        F.count_if(good & F.col("bad_text")).alias("bad_text"),
-    )
+    flags = {"kept": kept, "bad_row": F.col("bad_row")} | {k: good & F.col(k) for k in ROW_KINDS[2:]}
+    found = stage(unmapped(looked_up, TARGETS, scope=scope, order=order, flags={f"#{k}": v for k, v in flags.items()}, among=good), "counted")
+    counts = found.filter(F.col("label").startswith("#")).groupBy("spec_id").agg(
+        *[F.sum(F.when(F.col("label") == f"#{k}", F.col("n"))).alias(k) for k in ROW_KINDS])
+    return found.filter(~F.col("label").startswith("#")), counts
+
+
+def source_issues(counts: DataFrame, specs: DataFrame) -> DataFrame:
+    """Per source that was read: cells that did not convert, no rows left, model not in the dictionary."""
     survives = F.coalesce("kept", F.lit(0)) > 0
 
     def kind(place: int, count: str, text: str, severity: str) -> dict:
@@ -217,14 +226,15 @@ class Run:
 
     @cached_property
     def issues(self) -> DataFrame:
-        """Everything the run has to report."""
+        """Everything the run has to report: one pass over the looked-up rows, and one over the mapped ones for duplicates."""
         result = self.harmonized
         if result is None:
             return self.planned
-        misses = result.misses.join(self.specs.select("spec_id", "file"), "spec_id").join(self.absent, ["spec_id", "label"], "left_anti")
+        missed, counts = counted_rows(result.looked_up, result.scope, result.order)
+        misses = missed.join(self.specs.select("spec_id", "file"), "spec_id").join(self.absent, ["spec_id", "label"], "left_anti")
         return union_sources([
             self.planned,
-            source_issues(result.looked_up, self.specs),
+            source_issues(counts, self.specs),
             unmapped_issues(misses),
             duplicate_issues(result.counters),
         ] + ([pivot_issues(result.long)] if result.can_collide else []))

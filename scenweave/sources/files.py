@@ -121,7 +121,8 @@ def _lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 def _first_lines(spark: SparkSession, files: DataFrame) -> DataFrame:
     """The first lines of each file, numbered: ``file_path, n, line``."""
     order = W.partitionBy("file_path").orderBy("block", "row")
-    sizes = [(r["file_path"], r["length"]) for r in files.select("file_path", "length").distinct().toLocalIterator()]
+    # Readers take a list of files, which Spark keeps on the driver in any case.
+    sizes = [(r["file_path"], r["length"]) for r in files.select("file_path", "length").distinct().collect()]
     small = [path for path, length in sizes if length is not None and length <= SMALL_FILE]
     large = [path for path, length in sizes if length is None or length > SMALL_FILE]
     columns = ["file_path", "n", "line"]
@@ -221,7 +222,7 @@ def _delimited(spark: SparkSession, files: DataFrame, candidates: Sequence[str])
 
 def _json_names(spark: SparkSession, files: DataFrame) -> DataFrame:
     """Keys of all records of JSON files, in order of appearance."""
-    paths = [r["file_path"] for r in files.select("file_path").distinct().toLocalIterator()]
+    paths = [r["file_path"] for r in files.select("file_path").distinct().collect()]
     keys = F.json_object_keys(F.ltrim(F.col("line").cast("string"), F.lit("\ufeff \t")))
     each = _lines(spark, paths).select("file_path", "block", "row", F.posexplode(keys).alias("at", "key"))
     first = each.groupBy("file_path", "key").agg(F.min(F.struct("block", "row", "at")).alias("first"))
@@ -261,8 +262,8 @@ def read_headers(files: DataFrame, candidates: Sequence[str] = (";", ",", "\t"))
     for name, kind in (("encoding", "string"), ("length", "bigint")):
         if name not in files.columns:
             files = files.withColumn(name, F.lit(None).cast(kind))
-    files = files.select(one_spelling(F.col("file_path")).alias("file_path"), "format", "separator", "encoding", "length")
-    files = stage(files.distinct(), "files")
+    wanted = files.select(one_spelling(F.col("file_path")).alias("file_path"), "format", "separator", "encoding", "length").distinct()
+    files = spark.createDataFrame(wanted.toArrow())
     kinds = {r["format"] for r in files.select("format").distinct().collect()}
     found = spark.createDataFrame([], HEADER_SCHEMA)
     if "csv" in kinds:

@@ -289,10 +289,11 @@ def scan_group(
 ) -> DataFrame:
     """Rows of all sources of one layout, with canonical columns and input positions.
 
-    ``carry`` maps output columns to columns of ``sources``. These are joined
+    ``paths`` has a file for each row of ``sources``, so it also tells their
+    number. ``carry`` maps output columns to columns of ``sources``. These are joined
     to the rows by file: broadcast up to a number of them, by a shuffle beyond it.
     """
-    df, cells, overflow = _open(spark, layout, [load_path(u) for u in paths], style)
+    df, cells, overflow = _open(spark, layout, [load_path(u) for u in dict.fromkeys(paths)], style)
     kinds = [f.dataType for f in df.schema][: len(cells)]
 
     def text(i: int, name: str = "") -> Column:
@@ -337,7 +338,7 @@ def scan_group(
         rows = _unpivoted(rows, layout)
     rows = type_measures(rows)
     attributes = sources.select("file_path", "part", "spec_id", *[F.col(f"`{c}`").alias(n) for n, c in carry.items()])
-    small = len(paths) <= BROADCAST_ROWS and attributes.count() <= BROADCAST_ROWS
+    small = len(paths) <= BROADCAST_ROWS
     # Beyond the bound rows are shuffled by file; Spark splits a large file's share at run time.
     joined = rows.join(F.broadcast(attributes) if small else attributes, "file_path")
     return joined.withColumn("block", F.col("block") + F.shiftleft(F.col("part").cast("long"), PART_BITS)).select(
@@ -359,7 +360,7 @@ def scan_all(
     """One scan per layout, the layouts read, and issues of those that the reader refuses."""
     paths: dict[str, list[str]] = {key: [] for key in plan.layouts}
     # Readers take a list of files, which Spark keeps on the driver in any case.
-    for r in plan.sources.filter("layout is not null").select("layout", "file_path").distinct().toLocalIterator():
+    for r in plan.sources.filter("layout is not null").select("layout", "file_path").collect():
         paths[r["layout"]].append(r["file_path"])
     scans, read, refused = [], [], {}
     for key in sorted(plan.layouts):

@@ -507,3 +507,12 @@ def test_variables_as_columns(spark, tmp_path, dictionaries, rows):
         ("none.csv", "columns", None, "no column is a variable of the dictionary, source skipped"),
         ("no year.csv", "columns", None, "no column for year, source skipped"),
     }
+
+
+def test_sources_are_read_once_for_result_and_report(spark, delivery, dictionaries):
+    """With staged rows neither the result nor the report goes back to the files; misses and counts come from one pass."""
+    run = harmonize(spark, str(delivery), overview(spark, *SPECS), dictionaries(), stage_rows=True)
+    for df in (run.long, run.issues):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan csv" not in plan and "FileScan parquet" in plan
+    assert {r["stage"] for r in run.issues.collect()} >= {"source", "columns", "Variables", "Regions", "Units", "model", "duplicates"}
