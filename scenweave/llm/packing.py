@@ -107,11 +107,14 @@ class WordIds:
         return [np.concatenate([flat[a:b], end]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
-    """Each document's ids (little-endian unsigned 32-bit, the end id last) in one pass, cut into full windows and a rest."""
+def token_pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = END_ID, most_words: int = MOST_WORDS) -> DataFrame:
+    """Each document's ids (little-endian unsigned 32-bit, the end id last) in one pass, cut into full windows and a rest.
+
+    ``most_words`` bounds the table of words of a worker: a smaller one takes less memory and more time.
+    """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = once_per_worker(f"word ids of {tokenizer}", lambda: WordIds(tokenizer))
+        coder = once_per_worker(f"{most_words} word ids of {tokenizer}", lambda: WordIds(tokenizer, most_words))
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
         for batch in batches:
             texts = pc.fill_null(batch.column(1), "")
@@ -192,10 +195,12 @@ def place(pieces: DataFrame, keys: list[str], window: int = WINDOW, each: int =
 KEYS = ["doc_id", "start", "ids_crc32"]
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = END_ID, with_tokens: bool = True) -> DataFrame:
+def pack_documents(
+    docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = END_ID, with_tokens: bool = True, most_words: int = MOST_WORDS,
+) -> DataFrame:
     """Packed pieces: ``doc_id, start, length, tokens, doc_tokens, ids_crc32, sequence_id, offset``.
 
     Without ``tokens`` only their checksum leaves the task that made them, and packing moves a few numbers per piece.
     """
-    pieces = token_pieces(docs, tokenizer, window, end_id).withColumn("ids_crc32", F.crc32("tokens"))
+    pieces = token_pieces(docs, tokenizer, window, end_id, most_words).withColumn("ids_crc32", F.crc32("tokens"))
     return place(stage(pieces if with_tokens else pieces.drop("tokens"), "pieces"), KEYS, window)

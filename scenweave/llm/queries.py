@@ -19,12 +19,14 @@ ANCHORS, POSITIVES, NEGATIVES = 100, 5, 10
 
 
 def op1_warc_archive(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page through WARC files into a content-addressed store and back."""
     return warc.archive_pages(spark, table(spark, folder, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
 
 
 def op2_secret_links(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets of all documents, weak parts where they complete each other."""
     return secrets.digests(secrets.find_secrets(table(spark, folder, "documents")))
 
 
@@ -44,39 +46,47 @@ def secret_links_planted(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """How often the mix of sources takes each document."""
     return mixing.mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
 def op4_page_languages(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every page."""
     return language_id.identify(table(spark, folder, "pages"), table(spark, folder, "documents"))
 
 
 def op5_permutation_index(spark: SparkSession, folder: str) -> DataFrame:
+    """The nearest vectors of every twentieth one."""
     vectors = table(spark, folder, "embeddings")
     return permutation_index.nearest(vectors, vectors.filter(F.col("vec_id") % EVERY == 0), NEIGHBOURS)
 
 
 def op6_divergence_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality rules on all documents."""
     return quality_rules.judge(table(spark, folder, "documents"))
 
 
 def op7_ngram_components(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of near-duplicates among all documents."""
     return ngram_join.near_duplicates(table(spark, folder, "documents"))
 
 
 def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents packed into sequences."""
     return packing.pack_documents(
         table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER), with_tokens=False
     ).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
 def op9_bounded_ring(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents dealt to shards."""
     return sharding.shard(table(spark, folder, "documents"), SHARDS).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
 
 
 def op10_preference_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """A quality score of every document."""
     docs = table(spark, folder, "documents")
     return quality_classifier.scored(docs, table(spark, folder, "labels")).select(
         "doc_id", quality_classifier.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted"
