@@ -10,6 +10,8 @@ from scenweave.llm import mixing, ngram_join, packing, quality_classifier, secre
 from scenweave.llm.common import stage, table
 
 TOKENIZER = "word_bpe_49k.json"
+#: Earlier stages leave their memory to the same workers, so the tokenizer's table of words is smaller here.
+MOST_WORDS = 250_000
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +37,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces with their sequence and their place in it."""
-    return packing.pack_documents(docs, public_tokenizers.path(TOKENIZER))
+    return packing.pack_documents(docs, public_tokenizers.path(TOKENIZER), most_words=MOST_WORDS)
 
 
 STAGES = [
