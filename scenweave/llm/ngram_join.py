@@ -11,8 +11,9 @@
 4. Equal sets are one class, and lists with equal members are one list. In each list every class meets the one with least
    that is not shared; links found so give classes of a group one label. Then only classes of different labels that still share a list are
    paired, if what their labels have in common leaves room for a link, so most of the pairs of a group of thousands of near
-   copies are never made, and no link between groups is left out. Pairs pass the length and the positional filter, are made
-   distinct, and are verified once, behind a bound from counts per hash range (suffix filter).
+   copies are never made, and no link between groups is left out. Pairs pass the length and the positional filter, count in
+   the list of the rarest shingle that both hold, are made distinct, and are verified once, behind a bound from counts per hash
+   range (suffix filter). Sets of one group that are similar to none of it are still paired where these bounds leave room.
 
 Null handling: NULL texts and texts without words have an empty set, link with nothing and are components of their own. Rows
 without id get no component. Rows that repeat an id are one document: it has the links of all its texts. Other columns are
@@ -387,12 +388,12 @@ def similar(sets: DataFrame, repeated: DataFrame | None = None) -> tuple[DataFra
         "node", "n", "s", F.floor(FINE * (F.col("n") - F.col("s")) / F.col("s")).alias("level"),
         F.floor(F.log("n") / F.log(F.lit(UNDER / OVER)) + 1e-9).alias("band"), F.posexplode("prefix").alias("k", "hash"),
     ), "posts")
-    # Lists with the same members, such as those of all shingles of a passage, give the same pairs: one of them is kept.
+    # Lists with the same members, such as those of all shingles of a passage, give the same pairs: the rarest is kept.
     bits = lambda seed: F.sum(F.xxhash64("node", F.lit(seed)).bitwiseAND((1 << 40) - 1))
     lists = posts.groupBy("hash").agg(
         F.min(F.struct("level", "node", "n", "s", "k")).alias("pivot"), F.count("*").alias("members"), bits(0).alias("x"), bits(1).alias("y"))
-    lists = lists.filter("members > 1").groupBy("members", "x", "y").agg(F.min(F.struct("hash", "pivot")).alias("kept"))
-    members = stage(posts.join(lists.select("kept.*"), "hash"), "members")
+    lists = lists.filter("members > 1").groupBy("members", "x", "y").agg(F.min(F.struct("pivot.k", "hash", "pivot")).alias("kept"))
+    members = stage(posts.join(lists.select("kept.hash", "kept.pivot"), "hash"), "members")
 
     long_enough = f"{OVER} * greatest(na, nb) <= {UNDER} * least(na, nb)"
     # All that two sets do not share is apart, and they have no more in common than what either shares with any.
@@ -423,11 +424,16 @@ def similar(sets: DataFrame, repeated: DataFrame | None = None) -> tuple[DataFra
     known = stage(known.drop("own"), "labelled")
     several = known.groupBy("hash").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
     mixed_ = stage(known.join(several.select("hash"), "hash", "left_semi"), "mixed-lists")
-    kinds = stage(mixed_.groupBy("hash", "label", "level", "band").agg(F.max("extra").alias("extra"), F.min("n").alias("least")), "kinds")
+    # A pair counts in the list of the rarest shingle that both hold only. All that either holds before it is apart, so no more
+    # is common than what either has left from there on.
+    kinds = mixed_.groupBy("hash", "label", "level", "band").agg(
+        F.max("extra").alias("extra"), F.min("n").alias("least"), F.max(F.col("s") - F.col("k")).alias("left"))
+    kinds = stage(kinds, "kinds")
     names = ("label", "level", "band")
-    renamed = lambda df, c: df.withColumnsRenamed({x: f"{x}_{c}" for x in (*names, "extra", "least")})
+    renamed = lambda df, c: df.withColumnsRenamed({x: f"{x}_{c}" for x in (*names, "extra", "least", "left")})
     across = renamed(kinds, "a").join(renamed(kinds, "b"), "hash").filter(
-        f"label_a < label_b and level_a + level_b <= {FINE // 3} and abs(band_a - band_b) <= 1")
+        f"label_a < label_b and level_a + level_b <= {FINE // 3} and abs(band_a - band_b) <= 1").filter(
+        f"{OVER + UNDER} * least(left_a, left_b) >= {OVER} * (least_a + least_b)").drop("left_a", "left_b")
     # What two sets have in common lies in both labels, or in what one of them shares with any set but not with its own label.
     # So labels are compared once, and a group of copies is not paired with sets that its label is not similar to.
     met = stage(overlaps(across.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")).distinct(), listed), "label-pairs")
@@ -436,7 +442,7 @@ def similar(sets: DataFrame, repeated: DataFrame | None = None) -> tuple[DataFra
     on = lambda c: ["hash", *[f"{x}_{c}" for x in names]]
     rest = across.join(met, ["label_a", "label_b"]).filter(enough + "(least_a + least_b)").drop("extra_a", "extra_b")
     rest = rest.join(renamed(side(mixed_, "a"), "a"), on("a")).join(renamed(side(mixed_, "b"), "b"), on("b"))
-    rest = rest.filter(long_enough).filter(placed).filter(enough + "(na + nb)")
+    rest = rest.filter(long_enough).filter(placed).filter(f"{OVER + UNDER} * least(sa - ka, sb - kb) >= {OVER} * (na + nb)").filter(enough + "(na + nb)")
     rest = stage(rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs").join(
         tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
     links = found.unionByName(verified(rest, listed)).select("a", "b")

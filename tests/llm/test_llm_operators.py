@@ -77,6 +77,23 @@ def test_ngram_components(documents, odd, spark):
         assert sizes == sorted(len(shingles(t)) for _, t in rows)
 
 
+def test_ngram_near_copies_are_not_all_paired(spark, monkeypatch):
+    """Copies with three or five new words: few are links, and few of the other pairs are counted."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(100):
+        words = [f"w{j}" for j in range(150)]
+        for at in rng.choice(150, 5 if i % 4 else 3, replace=False):
+            words[at] = f"new{i}at{at}"
+        rows.append((i, " ".join(words)))
+    staged, stage = {}, ngram_join.stage
+    monkeypatch.setattr(ngram_join, "stage", lambda df, name: staged.setdefault(name, stage(df, name)) if "pairs" in name else stage(df, name))
+    got = ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = brute_components(rows)
+    assert {r["doc_id"]: r["component_id"] for r in got} == want and len(set(want.values())) == 91
+    assert staged["label-pairs"].count() < 6 * len(rows)
+
+
 def test_ngram_long_text_is_hashed_whole(monkeypatch):
     import pyarrow as pa
 
