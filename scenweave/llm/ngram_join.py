@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import parts_for, slices, stage
+from .common import parts_for, settled, slices, stage
 
 SHINGLE = 5
 #: Similarity as a fraction: OVER / UNDER.
@@ -132,6 +132,28 @@ def text_sets(texts: pa.Array, k: int = SHINGLE) -> list[np.ndarray]:
         return shingle_sets(words, np.concatenate([[0], np.cumsum(counts)]), k)
 
 
+def packed(hashes: np.ndarray) -> bytes:
+    """Sorted hashes in little more than 6 bytes each: their low 48 bits, and the steps of the 16 above in unary."""
+    if not len(hashes):
+        return b""
+    high = (hashes >> np.uint64(48)).astype(np.int64)
+    bits = np.zeros(len(hashes) + int(high[-1] - high[0]), np.uint8)
+    bits[high - high[0] + np.arange(len(hashes))] = 1
+    low = hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+    return high[:1].astype("<u2").tobytes() + low.tobytes() + np.packbits(bits).tobytes()
+
+
+def unpacked(data: bytes, n: int) -> np.ndarray:
+    """The ``n`` hashes that ``packed`` wrote."""
+    if not n:
+        return np.zeros(0, np.uint64)
+    hashes = np.zeros((n, 8), np.uint8)
+    hashes[:, :6] = np.frombuffer(data, np.uint8, 6 * n, 2).reshape(n, 6)
+    high = np.flatnonzero(np.unpackbits(np.frombuffer(data, np.uint8, -1, 2 + 6 * n))) - np.arange(n) + np.frombuffer(data, "<u2", 1)[0]
+    hashes[:, 6:] = high.astype("<u2").view(np.uint8).reshape(n, 2)
+    return hashes.view("<u8").ravel()
+
+
 TO_COUNT = "bucket int, batch long, hashes binary, places binary, counts binary, docs binary"
 FROM_COUNT = "batch long, hashes binary, places binary, counts binary, docs binary"
 SETS = "doc_id long, n_shingles long, digest binary, shared binary, counts binary"
@@ -161,21 +183,16 @@ def _send(n_buckets: int):
                     np.array([n, many.sum()], "<i8").tobytes(), pc.fill_null(ids, 0).to_numpy().astype("<i8").tobytes(),
                     ids.is_valid().to_numpy(zero_copy_only=False).astype("u1").tobytes(), lengths.astype("<i8").tobytes(),
                     *[hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets],
-                    hashes[many].tobytes(), place[many].tobytes(),
+                    place[many].astype("<u2").tobytes(), packed(hashes[many]),
                 ])
-                alone = hashes[head[count == 1]], place[head[count == 1]]
-                shared = hashes[head[count > 1]], count[count > 1].astype("<u4")
                 rows = [(number % n_buckets, number, None, None, None, docs)]
-                deal = lambda h: ((h >> np.uint64(20)) % np.uint64(n_buckets)).astype(np.int32)
-                parts = []
-                for h, other in (alone, shared):
-                    b = deal(h)
-                    o = np.argsort(b, kind="stable")
-                    parts.append((h[o], other[o], np.searchsorted(b[o], np.arange(n_buckets + 1))))
-                (h1, p1, c1), (h2, n2, c2) = parts
-                for b in np.flatnonzero(np.diff(c1) + np.diff(c2)).tolist():
-                    x, y = slice(c1[b], c1[b + 1]), slice(c2[b], c2[b + 1])
-                    rows.append((b, number, h1[x].tobytes() + h2[y].tobytes(), p1[x].tobytes(), n2[y].tobytes(), None))
+                # Tasks count ranges of hashes, so what a task gets of a slice is one sorted piece.
+                hashes, place = hashes[head], np.where(count > 1, SEVERAL, place[head]).astype("<u2")
+                cuts = np.searchsorted((hashes >> np.uint64(32)) * np.uint64(n_buckets) >> np.uint64(32), np.arange(n_buckets + 1, dtype=np.uint64))
+                for b in np.flatnonzero(np.diff(cuts)).tolist():
+                    of = slice(cuts[b], cuts[b + 1])
+                    several = count[of][count[of] > 1].astype("<u4")
+                    rows.append((b, number, packed(hashes[of]), place[of].tobytes(), several.tobytes(), None))
                 number += 1
                 yield _batch(rows, TO_COUNT)
 
@@ -201,11 +218,13 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if docs is not None:
                 yield _batch([(slice_, None, None, None, docs)], FROM_COUNT)
                 continue
-            h, p, c = np.frombuffer(h, "<u8"), np.frombuffer(p, "<u2"), np.frombuffer(c, "<u4")
-            number.append((slice_, len(h)))
-            hashes.append(h)
-            places.append(np.concatenate([p, np.full(len(c), SEVERAL, "<u2")]))
-            counts.append(np.concatenate([np.ones(len(p), "<u4"), c]))
+            p = np.frombuffer(p, "<u2")
+            several = np.ones(len(p), "<u4")
+            several[p == SEVERAL] = np.frombuffer(c, "<u4")
+            number.append((slice_, len(p)))
+            hashes.append(unpacked(h, len(p)))
+            places.append(p)
+            counts.append(several)
     if not hashes:
         return
     h, p, c = np.concatenate(hashes), np.concatenate(places), np.concatenate(counts)
@@ -221,7 +240,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep = np.flatnonzero(every[at : at + n] > 1) + at
         at += n
         if len(keep):
-            rows.append((slice_, h[keep].tobytes(), p[keep].tobytes(), every[keep].astype("<u4").tobytes(), None))
+            rows.append((slice_, packed(h[keep]), p[keep].tobytes(), every[keep].astype("<u4").tobytes(), None))
         if len(rows) >= 256:
             yield _batch(rows, FROM_COUNT)
             rows = []
@@ -256,7 +275,7 @@ def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if docs is not None:
                 tables[slice_] = docs
             else:
-                parts.setdefault(slice_, []).append((np.frombuffer(h, "<u8"), np.frombuffer(p, "<u2"), np.frombuffer(c, "<u4")))
+                parts.setdefault(slice_, []).append((unpacked(h, len(p) // 2), np.frombuffer(p, "<u2"), np.frombuffer(c, "<u4")))
     for slice_, docs in tables.items():
         n, n_many = np.frombuffer(docs, "<i8", 2).tolist()
         at = 16
@@ -266,7 +285,7 @@ def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at += 17 * n
         digests = [docs[at + 16 * i : at + 16 * i + 16] for i in range(n)]
         at += 16 * n
-        many, many_at = np.frombuffer(docs, "<u8", n_many, at), np.frombuffer(docs, "<u2", n_many, at + 8 * n_many)
+        many, many_at = unpacked(docs[at + 2 * n_many :], n_many), np.frombuffer(docs, "<u2", n_many, at)
         got = parts.pop(slice_, [])
         h, p, c = (np.concatenate([g[i] for g in got]) if got else np.zeros(0, t) for i, t in enumerate(("<u8", "<u2", "<u4")))
         one = p != SEVERAL
@@ -485,7 +504,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """Rows of ``docs`` that are the smallest document of their component. Rows without id stay; of rows that repeat an id one does."""
-    kept = stage(near_duplicates(docs).filter("doc_id = component_id").select("doc_id").distinct(), "kept")
+    kept = settled(docs.sparkSession, lambda: near_duplicates(docs).filter("doc_id = component_id").select("doc_id").distinct(), "kept")
     chosen = docs.join(kept, "doc_id", "left_semi").withColumn(
         "_place", F.row_number().over(W.partitionBy("doc_id").orderBy(F.md5(F.col("text").cast("binary")))))
     return chosen.filter("_place = 1").select(*docs.columns).unionByName(docs.filter("doc_id is null"))

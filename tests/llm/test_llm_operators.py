@@ -1,7 +1,9 @@
 """Each operator against a brute-force version, and its defined results for odd rows."""
 
 import hashlib
+import os
 import re
+import time
 import zlib
 from base64 import b32encode
 
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from scenweave.llm import (
-    language_id, mixing, ngram_join, packing, permutation_index, quality_classifier, quality_rules, secrets, sharding, warc,
+    common, language_id, mixing, ngram_join, packing, permutation_index, quality_classifier, quality_rules, secrets, sharding, warc,
 )
 
 FOLDER = "/root/testdata/sf0.001"
@@ -108,6 +110,45 @@ def test_one_of_each_group_stays(odd):
     assert kept == [1, 4, 5, 6, 7, 9, 10, 11, 12]
 
 
+@pytest.mark.parametrize("hashes", [[], [0], [2**64 - 1], [0, 2**64 - 1], [5, 5, 2**48 - 1, 2**48, 2**63, 2**63, 2**64 - 1], "many"])
+def test_ngram_hashes_packed(hashes):
+    hashes = np.sort(np.random.default_rng(3).integers(0, 2**64, 50_000, np.uint64) if hashes == "many" else np.array(hashes, np.uint64))
+    data = ngram_join.packed(hashes)
+    assert (ngram_join.unpacked(data, len(hashes)) == hashes).all()
+    assert len(data) <= 6.125 * len(hashes) + 8196
+
+
+def test_ngram_bytes_sent_to_count(spark):
+    """A shingle that one document of a slice holds takes less than 9 bytes to the counting tasks, and every one gets there."""
+    rng = np.random.default_rng(7)
+    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 10**6, 2004))) for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = docs.mapInArrow(ngram_join._send(8), ngram_join.TO_COUNT).filter("docs is null").collect()
+    hashes = [ngram_join.unpacked(r["hashes"], len(r["places"]) // 2) for r in got]
+    assert sum(map(len, hashes)) == len(np.unique(np.concatenate(hashes))) == 100_000
+    assert all(len({r["bucket"] for r, h in zip(got, hashes) if (h >> np.uint64(61) == b).any()}) == 1 for b in range(8))
+    assert sum(len(r["hashes"]) + len(r["places"]) + len(r["counts"]) for r in got) < 9 * 100_000
+
+
+def test_one_of_each_leaves_nothing_on_disk(spark, odd):
+    """Neither shuffle files of the tables that are written on the way nor these tables stay, whenever garbage is collected."""
+    folder = spark.conf.get("spark.checkpoint.dir")
+
+    def shuffled():
+        blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+        return {name for name in (blocks.apply(i).name() for i in range(blocks.size())) if name.startswith("shuffle_")}
+
+    setting, folders, files = spark.conf.get(common.CLEANUP), set(os.listdir(folder)), shuffled()
+    kept = ngram_join.one_of_each(odd)
+    until = time.time() + 10
+    while shuffled() - files and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffled() - files
+    assert [x.split("-")[0] for x in set(os.listdir(folder)) - folders if not x.startswith(".")] == ["kept"]
+    assert spark.conf.get(common.CLEANUP) == setting
+    assert kept.filter("doc_id is not null").count() == 9
+
+
 def test_ngram_texts_of_one_id_are_linked(spark):
     a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
     rows = [(5, a), (2, b), (5, b), (9, a + " more"), (7, ""), (7, c), (1, c), (8, None), (8, "d"), (6, "e f"), (6, "g h"), (3, "e f"), (4, "g h")]
